@@ -18,7 +18,7 @@ WEEKEND_DAYS = [1, 7]
 
 def date_key(day: Column) -> Column:
     """2024-03-09 -> 20240309."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def is_weekend(day: Column) -> Column:

@@ -2,54 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Digits kept behind the rounding position before an aggregate is rounded.
 GUARD_DIGITS = 4
+# Whole numbers up to here are exact as doubles.
+EXACT_WHOLE = 2**53
+
+
+def _half_up(value: str, digits: int) -> str:
+    """SQL text of `stable_round`; one expression text costs one driver round trip, its many nodes as Columns dozens."""
+    scale, unit = 10 ** (digits + GUARD_DIGITS), 10**GUARD_DIGITS
+    snapped = f"cast(rint({value} * {scale}D) as bigint)"
+    nearest = f"({snapped} + if({value} < 0, -{unit // 2}, {unit // 2})) div {unit} / {10**digits}D"
+    wide = f"cast(round(try_cast({value} as decimal(38, {digits + GUARD_DIGITS})), {digits}) as double)"
+    return (
+        f"case when abs({value}) < {EXACT_WHOLE}D / {scale}D then {nearest} "
+        f"else coalesce({wide}, round({value}, {digits})) end"
+    )
 
 
-def stable_round(value: Column, digits: int) -> Column:
-    """Half-up rounding of a floating-point aggregate that does not depend on summation order.
+def stable_round(column: str, digits: int) -> Column:
+    """Half-up rounding of a double column that does not depend on summation order.
 
     The last bits of a distributed `avg` or `sum` of doubles depend on how rows were spread over tasks, so a plain
     `round(avg(x), 2)` flips at ties from run to run.  Here the value first snaps to a few more decimals than needed,
-    which removes that noise, and is rounded from there.  Values too large for the decimal, NaN and infinities take the
-    plain `round`.
+    which removes that noise, and is rounded from there, halves away from zero.
+
+    Snapping is whole-number arithmetic, which stays in generated code; the built-in `round` goes through a big decimal
+    for each value and takes some fifteen times as long.  Values too large for that take a decimal, and beyond it, like
+    NaN and infinities, the plain `round`.
     """
-    snapped = value.try_cast(f"decimal(18,{digits + GUARD_DIGITS})")
-    return F.coalesce(F.round(snapped, digits).cast("double"), F.round(value.cast("double"), digits))
+    return F.expr(_half_up(f"`{column}`", digits))
 
 
-def nan_to_null(value: Column) -> Column:
-    """NaN passes `> 0` in Spark; treat it as missing, as a null."""
-    return F.when(~F.isnan(value), value)
+def round_columns(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
+    """The same columns with some rounded by `stable_round`."""
+    return df.withColumns({c: stable_round(c, digits) for c in columns})
 
 
-def percent_of(part: Column, whole: Column, digits: int = 2) -> Column:
-    """100 * part / whole, rounded; null when `whole` is 0."""
-    return stable_round(F.try_divide(part * F.lit(100.0), whole.cast("double")), digits)
+def nan_to_null(column: str) -> Column:
+    """NaN passes `> 0` in Spark; treat it as missing, as a null."""
+    return F.expr(f"if(isnan(`{column}`), null, `{column}`)")
 
 
-def to_float(value: Column) -> Column:
-    return value.try_cast("double")
+def to_float(column: str) -> Column:
+    return F.expr(f"try_cast(`{column}` as double)")
 
 
-def to_int(value: Column) -> Column:
+def to_int(column: str) -> Column:
     """Truncates toward zero.  Null for text that is no number."""
-    return value.try_cast("double").try_cast("int")
+    return F.expr(f"try_cast(try_cast(`{column}` as double) as int)")
 
 
-def safe_corr(x: Column, y: Column) -> Column:
+def safe_corr(x: str, y: str) -> Column:
     """Pearson correlation over the rows where both are present; null for constants or fewer than two rows.
 
     The built-in `corr` raises a division error for constant input under ANSI mode, so it is put together from
     covariance and deviations, all of which merge partial results.
     """
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    constant = (F.min(px) == F.max(px)) | (F.min(py) == F.max(py))
-    return F.when(
-        ~constant,
-        F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py)),
+    px, py = (f"if(`{x}` is null or `{y}` is null, null, cast(`{c}` as double))" for c in (x, y))
+    return F.expr(
+        f"if(min({px}) < max({px}) and min({py}) < max({py}), "
+        f"try_divide(covar_pop({px}, {py}), stddev_pop({px}) * stddev_pop({py})), null)"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import hour_bin
-from trilayer.functions.numeric import safe_corr, stable_round
+from trilayer.functions.numeric import round_columns, safe_corr
 
 
 def time_profile(df: DataFrame, ts: str) -> DataFrame:
@@ -62,16 +62,10 @@ def pivot_mean(df: DataFrame, key: str, category: str, values: list[str], measur
 
 def pair_corrs(df: DataFrame, x: str, others: list[str], digits: int = 6) -> DataFrame:
     """Correlation of `x` with each other column over the rows where both are present, as rows (x, y, pairs, r)."""
-    cells = []
-    for y in others:
-        both = F.col(x).isNotNull() & F.col(y).isNotNull()
-        cells.append((F.count_if(both), stable_round(safe_corr(F.col(x), F.col(y)), digits)))
-    row = df.agg(*(c.alias(f"{kind}{i}") for i, cell in enumerate(cells) for kind, c in zip("nr", cell)))
-    structs = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"n{i}").alias("pairs"), F.col(f"r{i}").alias("r"))
-        for i, y in enumerate(others)
-    ]
-    return row.select(F.inline(F.array(*structs)))
+    pairs = [F.expr(f"count_if(`{x}` is not null and `{y}` is not null)").alias(f"n{i}") for i, y in enumerate(others)]
+    row = df.agg(*pairs, *(safe_corr(x, y).alias(f"r{i}") for i, y in enumerate(others)))
+    cells = [f"named_struct('x', '{x}', 'y', '{y}', 'pairs', n{i}, 'r', r{i})" for i, y in enumerate(others)]
+    return round_columns(row.selectExpr(f"inline(array({', '.join(cells)}))"), ["r"], digits)
 
 
 def corr_matrix(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
@@ -81,9 +75,10 @@ def corr_matrix(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame
     row.  Rounded, since the last bits depend on how rows were spread over tasks.
     """
     pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*(stable_round(safe_corr(F.col(x), F.col(y)), digits).alias(f"r{i}") for i, (x, y) in enumerate(pairs)))
-    cells = []
-    for i, (x, y) in enumerate(pairs):
-        for a, b in {(x, y), (y, x)}:
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")))
-    return row.select(F.inline(F.array(*cells)))
+    row = df.agg(*(safe_corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)))
+    cells = [
+        f"named_struct('x', '{a}', 'y', '{b}', 'r', r{i})"
+        for i, (x, y) in enumerate(pairs)
+        for a, b in dict.fromkeys([(x, y), (y, x)])
+    ]
+    return round_columns(row.selectExpr(f"inline(array({', '.join(cells)}))"), ["r"], digits)

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilayer.functions.numeric import percent_of
 from trilayer.operators.aggregate import rows_as_text
 from trilayer.operators.quantiles import numeric_summary
 
@@ -82,89 +81,86 @@ WEATHER_RULES = [
 ]
 
 
-def _value(df: DataFrame, column: str) -> Column:
-    """The column with NaN as null."""
-    value = F.col(f"`{column}`")
-    return F.when(~F.isnan(value), value) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else value
+def _missing(df: DataFrame, column: str) -> str:
+    """SQL test for null; a NaN counts as one."""
+    test = f"`{column}` is null"
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return f"({test} or isnan(`{column}`))" if floating else test
 
 
-def _outside(value: Column, low: float | None, high: float | None) -> Column:
-    tests = ([value < low] if low is not None else []) + ([value > high] if high is not None else [])
-    return F.lit(False) if not tests else tests[0] if len(tests) == 1 else tests[0] | tests[1]
+def _literal(value) -> str:
+    if isinstance(value, str):
+        text = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+    return str(value)
 
 
-def _violations(df: DataFrame, rule: Rule) -> Column | None:
-    """Count of rows that break a rule on a column."""
-    if rule.kind == "row_count":
-        return None
-    value = _value(df, rule.column)
+def _beyond(value: str, low: float | None, high: float | None) -> str:
+    tests = [f"{value} {sign} {bound}" for sign, bound in (("<", low), (">", high)) if bound is not None]
+    return " or ".join(tests) or "false"
+
+
+def _broken(df: DataFrame, rule: Rule) -> str:
+    """SQL test for a row that breaks a rule on a column."""
     if rule.kind == "not_null":
-        return F.count_if(value.isNull())
+        return _missing(df, rule.column)
     if rule.kind == "between":
-        return F.count_if(_outside(value, rule.low, rule.high))
-    return F.count_if(~value.isin(*rule.allowed))
+        return f"not {_missing(df, rule.column)} and ({_beyond(f'`{rule.column}`', rule.low, rule.high)})"
+    return f"`{rule.column}` not in ({', '.join(map(_literal, rule.allowed))})"
 
 
-def _verdict(rule: Rule, total: Column, missing: Column, broken: Column) -> Column:
-    """One result struct from the counts.
+def _verdict(rule: Rule, broken: str, missing: str | None) -> str:
+    """SQL struct of one result from the counts `rows`, `broken` and `missing`.
 
     Percentages are over all rows for null checks and over rows with a value else; without any such row a rule holds.
     Counts a rule does not report are null.
     """
-    none = F.lit(None).cast("long")
+    checked = unexpected = percent = None
     if rule.kind == "row_count":
-        holds = ~_outside(total, rule.low, rule.high)
-        looked_at, missing, unexpected = total, none, none
+        holds, missing = f"not ({_beyond('rows', rule.low, rule.high)})", None
+    elif rule.kind == "in_set":
+        holds = f"{broken} = 0"
     else:
-        looked_at = total
-        base = total if rule.kind == "not_null" else total - missing
-        tolerated = F.lit(1.0 - rule.mostly) * base + F.lit(1e-9)
-        holds = broken <= tolerated if rule.kind != "in_set" else broken == 0
-        unexpected = none if rule.kind == "in_set" else broken
-        if rule.kind == "not_null":
-            missing = none
-    percent = F.lit(None).cast("double")
-    if rule.kind in ("not_null", "between"):
-        percent = F.coalesce(percent_of(broken, base, 6), F.lit(0.0))
-    return F.struct(
-        F.lit(rule.name).alias("rule"),
-        F.lit(rule.column or "table").alias("column"),
-        F.coalesce(holds, F.lit(True)).alias("success"),
-        looked_at.alias("element_count"),
-        missing.alias("missing_count"),
-        unexpected.alias("unexpected_count"),
-        percent.alias("unexpected_percent"),
+        checked = "rows" if rule.kind == "not_null" else f"(rows - {missing})"
+        holds = f"{broken} <= {1.0 - rule.mostly!r}D * {checked} + 1e-9D"
+        unexpected, percent = broken, f"coalesce(try_divide(100D * {broken}, {checked}), 0D)"
+        missing = None if rule.kind == "not_null" else missing
+    return (
+        f"named_struct('rule', {_literal(rule.name)}, 'column', {_literal(rule.column or 'table')}, 'success', {holds}, "
+        f"'element_count', rows, 'missing_count', cast({missing or 'null'} as bigint), "
+        f"'unexpected_count', cast({unexpected or 'null'} as bigint), "
+        f"'unexpected_percent', cast({percent or 'null'} as double))"
     )
 
 
+def _with_rounded(structs: str, field: str, digits: int) -> Column:
+    """An array of structs with one field rounded."""
+    return F.transform(structs, lambda s: s.withField(field, F.round(s[field], digits)))
+
+
 def profile(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
     """One row: `rows`, `results` (one struct per rule) and `nulls` (one struct per column)."""
     rules = list(rules)
     unknown = sorted({r.column for r in rules if r.column is not None} - set(df.columns))
     if unknown:
         raise ValueError(f"rules on unknown columns: {unknown}")
-    counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [F.count_if(_value(df, c).isNull()).alias(f"null{i}") for i, c in enumerate(df.columns)]
-    counts += [
-        _violations(df, rule).alias(f"broken{i}") for i, rule in enumerate(rules) if rule.kind != "row_count"
-    ]
-    null_of = {c: F.col(f"null{i}") for i, c in enumerate(df.columns)}
-    rows = F.col("rows")
-    results = [
-        _verdict(rule, rows, null_of.get(rule.column), F.col(f"broken{i}")) for i, rule in enumerate(rules)
-    ]
+    null_of = {c: f"null{i}" for i, c in enumerate(df.columns)}
+    counts = ["count(1) as rows"]
+    counts += [f"count_if({_missing(df, c)}) as {name}" for c, name in null_of.items()]
+    counts += [f"count_if({_broken(df, r)}) as broken{i}" for i, r in enumerate(rules) if r.kind != "row_count"]
+    results = [_verdict(rule, f"broken{i}", null_of.get(rule.column)) for i, rule in enumerate(rules)]
     nulls = [
-        F.struct(
-            F.lit(c).alias("column"),
-            missing.alias("null_count"),
-            percent_of(missing, rows).alias("null_percent"),
-        )
-        for c, missing in null_of.items()
+        f"named_struct('column', {_literal(c)}, 'null_count', {name}, "
+        f"'null_percent', try_divide(100D * {name}, rows))"
+        for c, name in null_of.items()
     ]
-    return df.agg(*counts).select(
+    row = df.agg(*map(F.expr, counts)).selectExpr(
+        "rows", f"array({', '.join(results)}) as results", f"array({', '.join(nulls)}) as nulls"
+    )
+    return row.select(
         "rows",
-        (F.array(*results) if results else F.array()).alias("results"),
-        F.array(*nulls).alias("nulls"),
+        (_with_rounded("results", "unexpected_percent", 6) if rules else F.col("results")).alias("results"),
+        _with_rounded("nulls", "null_percent", 2).alias("nulls"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,37 +60,61 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns as doubles with NaN as null."""
-    return df.select(*(nan_to_null(F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(columns)))
+    return df.select(*(nan_to_null(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
 
 
-def _sketch(v: Column, around: list[float], accuracy: int) -> Column:
-    """Approximate quantiles a little below and above each probability."""
+def _sketch(value: str, around: list[float], accuracy: int) -> str:
+    """SQL for approximate quantiles a little below and above each probability."""
     margin = 2.0 / accuracy
     probes = [max(0.0, min(1.0, p + side * margin)) for p in around for side in (-1, 1)]
-    return F.percentile_approx(v, probes, accuracy)
+    return f"percentile_approx({value}, array({', '.join(f'{p!r}D' for p in probes)}), {accuracy})"
 
 
-def _fetch(df: DataFrame, columns: list[Column]) -> list:
+def _fetch(df: DataFrame, aggregates: list[str]) -> list:
     """One row of aggregates."""
-    return list(df.agg(*(c.alias(f"a{i}") for i, c in enumerate(columns))).first()) if columns else []
+    return list(df.agg(*(F.expr(text).alias(f"a{i}") for i, text in enumerate(aggregates))).first()) if aggregates else []
 
 
-def _strictly_inside(b: _Bracket) -> Column:
-    v = F.col(b.column)
-    return F.when((v > b.low) & (v < b.high), v)
+def _strictly_inside(b: _Bracket) -> str:
+    return f"if({b.column} > {_number(b.low)} and {b.column} < {_number(b.high)}, {b.column}, null)"
+
+
+def _number(x: float) -> str:
+    return f"double('{x!r}')"
 
 
 def _count(df: DataFrame, brackets: list[_Bracket]) -> None:
-    spans = list(dict.fromkeys(b.span for b in brackets))
-    columns = []
-    for column, low, high in spans:
-        v = F.col(column)
-        tests = [v < low, v == low, (v > low) & (v < high), (v == high) if high > low else F.lit(False)]
-        columns += [F.count_if(test) for test in tests]
-    found = _fetch(df, columns)
-    counts = {span: tuple(found[4 * i : 4 * i + 4]) for i, span in enumerate(spans)}
+    """Fill in the brackets' counts.
+
+    The ends of a column's brackets cut its values into cells: below the first end, on it, between it and the second,
+    and so on.  One grouped count over the cells of all columns serves every bracket; it has a few groups per column.
+    """
+    ends: dict[str, list[float]] = {}
+    for column in dict.fromkeys(b.column for b in brackets):
+        ends[column] = sorted({end for b in brackets if b.column == column for end in (b.low, b.high)})
+    cells = []
+    for column, cuts in ends.items():
+        tests = [f"when {column} < {_number(e)} then {2 * i} when {column} = {_number(e)} then {2 * i + 1}" for i, e in enumerate(cuts)]
+        cells.append(f"case when {column} is null then null {' '.join(tests)} else {2 * len(cuts)} end")
+    counted = (
+        df.selectExpr(f"posexplode(array({', '.join(cells)})) as (position, cell)")
+        .groupBy("position", "cell")
+        .agg(F.count("cell").alias("rows"))
+    )
+    names = list(ends)
+    found = {(names[row["position"]], row["cell"]): row["rows"] for row in counted.collect()}
     for b in brackets:
-        b.counts = counts[b.span]
+        low, high = (2 * ends[b.column].index(end) + 1 for end in (b.low, b.high))
+
+        def rows(cells: range) -> int:
+            return sum(found.get((b.column, cell), 0) for cell in cells)
+
+        b.counts = (
+            rows(range(low)),
+            rows(range(low, low + 1)),
+            rows(range(low + 1, high)),
+            rows(range(high, high + 1)) if high > low else 0,
+        )
 
 
 def _order_statistics(
@@ -122,7 +146,7 @@ def _order_statistics(
         unsettled = moved + crowded
 
     picking = [b for b in brackets if b.place() == "inside"]
-    picks = [F.get(F.sort_array(F.collect_list(_strictly_inside(b))), F.lit(b.inside_rank)) for b in picking]
+    picks = [f"get(sort_array(collect_list({_strictly_inside(b)})), {b.inside_rank})" for b in picking]
     picked = {id(b): value for b, value in zip(picking, _fetch(df, picks))}
     ends = {"low": lambda b: b.low, "high": lambda b: b.high, "inside": lambda b: picked[id(b)]}
     return [ends[b.place()](b) for b in brackets]
@@ -150,8 +174,9 @@ def numeric_summary(
     columns = numeric_columns(df) if columns is None else columns
     numbers = _numbers(df, columns)
     stats = []
-    for v in map(F.col, numbers.columns):
-        stats += [F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v), _sketch(v, QUARTILES, accuracy)]
+    for v in numbers.columns:
+        stats += [f"count({v})", f"avg({v})", f"stddev_samp({v})", f"min({v})", f"max({v})"]
+        stats += [_sketch(v, QUARTILES, accuracy)]
     found = _fetch(numbers, stats)
     facts = {name: found[6 * i : 6 * i + 6] for i, name in enumerate(numbers.columns)}
 

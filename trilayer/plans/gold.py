@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import date_key, in_period, is_weekend
-from trilayer.functions.numeric import stable_round
+from trilayer.functions.numeric import round_columns
 from trilayer.operators.clean import present
 from trilayer.operators.joins import star_query
 from trilayer.schemas import DIM_FX, DIM_GDP, DIM_ZONE, conform
@@ -69,14 +69,15 @@ def trip_daily_fact(silver: DataFrame) -> DataFrame:
         .groupBy("date", "zone_id")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            stable_round(F.avg("fare_amount"), 2).alias("avg_fare_usd"),
-            stable_round(F.sum("fare_amount"), 2).alias("total_fare_usd"),
-            stable_round(F.avg("fare_eur"), 2).alias("avg_fare_eur"),
-            stable_round(F.avg("trip_distance"), 2).alias("avg_distance"),
-            stable_round(F.avg("passenger_count"), 2).alias("avg_passengers"),
+            F.avg("fare_amount").alias("avg_fare_usd"),
+            F.sum("fare_amount").alias("total_fare_usd"),
+            F.avg("fare_eur").alias("avg_fare_eur"),
+            F.avg("trip_distance").alias("avg_distance"),
+            F.avg("passenger_count").alias("avg_passengers"),
         )
     )
-    return daily.withColumn("date_key", date_key(F.col("date")))
+    money_and_means = ["avg_fare_usd", "total_fare_usd", "avg_fare_eur", "avg_distance", "avg_passengers"]
+    return round_columns(daily, money_and_means, 2).withColumn("date_key", date_key(F.col("date")))
 
 
 def air_daily_fact(silver: DataFrame) -> DataFrame:
@@ -86,14 +87,14 @@ def air_daily_fact(silver: DataFrame) -> DataFrame:
         .groupBy("date", "parameter", "location_id", "location_name")
         .agg(
             F.count(F.lit(1)).alias("measurement_count"),
-            stable_round(F.avg("value"), 2).alias("avg_value"),
+            F.avg("value").alias("avg_value"),
             F.round(F.min("value"), 2).alias("min_value"),
             F.round(F.max("value"), 2).alias("max_value"),
-            stable_round(F.avg("lat"), 6).alias("lat"),
-            stable_round(F.avg("lon"), 6).alias("lon"),
+            F.avg("lat").alias("lat"),
+            F.avg("lon").alias("lon"),
         )
     )
-    return daily.withColumn("date_key", date_key(F.col("date")))
+    return round_columns(round_columns(daily, ["avg_value"], 2), ["lat", "lon"], 6).withColumn("date_key", date_key(F.col("date")))
 
 
 # The model's relationships, (fact, fact key, dimension, dimension key).

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import in_period
-from trilayer.functions.numeric import stable_round
+from trilayer.functions.numeric import round_columns
 from trilayer.operators.aggregate import corr_matrix, pair_corrs, pivot_mean
 from trilayer.plans.silver import FIXED_USD_PER_EUR
 
@@ -26,11 +26,12 @@ def city_day(trip_fact: DataFrame, weighted: bool = False) -> DataFrame:
 
     The mean fare is the unweighted mean of the zones' rounded means unless `weighted`.
     """
-    return (
+    daily = (
         trip_fact.filter(in_period(F.col("date")))
         .groupBy("date")
-        .agg(F.sum("trip_count").alias("total_trips"), stable_round(_mean_fare(weighted), 2).alias("avg_fare"))
+        .agg(F.sum("trip_count").alias("total_trips"), _mean_fare(weighted).alias("avg_fare"))
     )
+    return round_columns(daily, ["avg_fare"], 2)
 
 
 def air_by_day(air_fact: DataFrame, pollutants: list[str] | None = None) -> DataFrame:
@@ -41,8 +42,8 @@ def air_by_day(air_fact: DataFrame, pollutants: list[str] | None = None) -> Data
 
 
 def trips_with_air(trip_fact: DataFrame, air_fact: DataFrame) -> DataFrame:
-    """Days that have both, in order.  Both sides are daily before they meet."""
-    return city_day(trip_fact).join(air_by_day(air_fact), "date", "inner").orderBy("date")
+    """Days that have both.  Both sides are daily before they meet."""
+    return city_day(trip_fact).join(air_by_day(air_fact), "date", "inner")
 
 
 def trip_air_matrix(daily: DataFrame) -> DataFrame:
@@ -65,22 +66,24 @@ def fx_daily_report(trip_fact: DataFrame, fx: DataFrame, fixed_rate: float = FIX
     """
     day = F.col("date")
     daily = trip_fact.groupBy("date").agg(
-        F.sum("trip_count").alias("total_trips"), stable_round(F.sum("total_fare_usd"), 2).alias("total_fare_usd")
+        F.sum("trip_count").alias("total_trips"), F.sum("total_fare_usd").alias("total_fare_usd")
     )
+    daily = round_columns(daily, ["total_fare_usd"], 2)
     rates = fx.select("date", "usd_eur_rate")
     total, rate = F.col("total_fare_usd"), F.col("usd_eur_rate")
     fixed, published = total / F.lit(fixed_rate), F.try_divide(total, rate)
-    return daily.join(rates, "date", "left").select(
+    report = daily.join(rates, "date", "left").select(
         day,
         F.year(day).alias("year"),
         F.month(day).alias("month"),
         "total_trips",
         total,
-        stable_round(fixed, 2).alias("fixed_fare_eur"),
-        stable_round(published, 2).alias("theoretical_fare_eur"),
-        stable_round(published - fixed, 2).alias("eur_difference"),
+        fixed.alias("fixed_fare_eur"),
+        published.alias("theoretical_fare_eur"),
+        (published - fixed).alias("eur_difference"),
         rate,
     )
+    return round_columns(report, ["fixed_fare_eur", "theoretical_fare_eur", "eur_difference"], 2)
 
 
 def gdp_yearly_report(trip_fact: DataFrame, gdp: DataFrame, weighted: bool = False) -> DataFrame:
@@ -91,9 +94,10 @@ def gdp_yearly_report(trip_fact: DataFrame, gdp: DataFrame, weighted: bool = Fal
     """
     yearly = trip_fact.groupBy(F.year("date").alias("year")).agg(
         F.sum("trip_count").alias("total_trips"),
-        stable_round(F.sum("total_fare_usd"), 2).alias("total_fare_usd"),
-        stable_round(_mean_fare(weighted), 2).alias("avg_fare_usd"),
+        F.sum("total_fare_usd").alias("total_fare_usd"),
+        _mean_fare(weighted).alias("avg_fare_usd"),
     )
+    yearly = round_columns(yearly, ["total_fare_usd", "avg_fare_usd"], 2)
     known = gdp.select(F.col("year").cast("int").alias("year"), "gdp_usd")
     share = F.try_divide(F.col("total_fare_usd") * 100, F.col("gdp_usd"))
     return yearly.join(known, "year", "left").withColumn("taxi_revenue_pct_of_gdp", share)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import PERIOD_YEARS, in_period
+from trilayer.functions.numeric import round_columns
 from trilayer.operators.clean import distinct_rows, positive, present
 
 # Fixed value: dollars per euro of the flat conversion.
@@ -21,15 +22,16 @@ def silver_trips(bronze: DataFrame) -> DataFrame:
     trips = distinct_rows(bronze).filter(
         positive("trip_distance", "fare_amount", "passenger_count") & present("tpep_pickup_datetime")
     )
-    return trips.withColumn("pickup_datetime", F.col("tpep_pickup_datetime")).withColumns(
+    derived = trips.withColumn("pickup_datetime", F.col("tpep_pickup_datetime")).withColumns(
         {
             "year": F.year(pickup),
             "month": F.month(pickup),
             "day_of_week": F.dayofweek(pickup),
             "hour": F.hour(pickup),
-            "fare_eur": F.round(F.col("fare_amount") / FIXED_USD_PER_EUR, 2),
+            "fare_eur": F.col("fare_amount") / FIXED_USD_PER_EUR,
         }
     )
+    return round_columns(derived, ["fare_eur"], 2)
 
 
 def silver_air(bronze: DataFrame) -> DataFrame:

@@ -42,18 +42,18 @@ def enrich_weather(
         "longitude": place.longitude,
     }
     measured = {
-        "temperature_c": to_float(F.col("temperature_2m")),
-        "relative_humidity_pct": to_float(F.col("relative_humidity_2m")),
-        "dew_point_c": to_float(F.col("dew_point_2m")),
-        "apparent_temperature_c": to_float(F.col("apparent_temperature")),
-        "precipitation_mm": to_float(F.col("precipitation")),
-        "rain_mm": to_float(F.col("rain")),
-        "snowfall_cm": to_float(F.col("snowfall")),
-        "cloud_cover_pct": to_float(F.col("cloud_cover")),
-        "surface_pressure_hpa": to_float(F.col("surface_pressure")),
-        "wind_speed_ms": W.kmh_to_ms(to_float(F.col("wind_speed_10m"))),
-        "wind_gusts_ms": W.kmh_to_ms(to_float(F.col("wind_gusts_10m"))),
-        "weather_code": to_int(F.col("weather_code")),
+        "temperature_c": to_float("temperature_2m"),
+        "relative_humidity_pct": to_float("relative_humidity_2m"),
+        "dew_point_c": to_float("dew_point_2m"),
+        "apparent_temperature_c": to_float("apparent_temperature"),
+        "precipitation_mm": to_float("precipitation"),
+        "rain_mm": to_float("rain"),
+        "snowfall_cm": to_float("snowfall"),
+        "cloud_cover_pct": to_float("cloud_cover"),
+        "surface_pressure_hpa": to_float("surface_pressure"),
+        "wind_speed_ms": W.kmh_to_ms(to_float("wind_speed_10m")),
+        "wind_gusts_ms": W.kmh_to_ms(to_float("wind_gusts_10m")),
+        "weather_code": to_int("weather_code"),
     }
     temperature, humidity = F.col("temperature_c"), F.col("relative_humidity_pct")
     wind = F.col("wind_speed_ms")

@@ -147,8 +147,8 @@ def conform(df: DataFrame, schema: T.StructType, text_bytes: int | None = None)
         raise ValueError(f"columns missing for the target table: {missing}")
     columns = []
     for field in schema:
-        column = F.col(f"`{field.name}`").try_cast(field.dataType)
+        column = F.expr(f"try_cast(`{field.name}` as {field.dataType.simpleString()}) as `{field.name}`")
         if text_bytes is not None and isinstance(field.dataType, T.StringType):
-            column = truncate_utf8(column, text_bytes)
-        columns.append(column.alias(field.name))
+            column = truncate_utf8(column, text_bytes).alias(field.name)
+        columns.append(column)
     return df.select(*columns)

@@ -12,7 +12,7 @@ from trilayer.schemas import FX_FILE, GDP_ROWS, LOCATION_DOC, ZONE_FILE
 
 def apply_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns by a declared type map; text that does not fit becomes null."""
-    return df.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema))
+    return df.selectExpr(*(f"try_cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in schema))
 
 
 def scan_fx(spark: SparkSession, paths: list[str]) -> DataFrame:

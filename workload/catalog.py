@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.functions.numeric import stable_round
+from trilayer.functions.numeric import round_columns
 from trilayer.operators import aggregate, coverage, joins, quality, quantiles, reload
 from trilayer.operators.clean import recent
 from trilayer.plans import bronze, gold, reports, silver
@@ -44,7 +44,7 @@ def _at(text: str) -> Column:
 
 
 def _rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    return df.withColumns({c: stable_round(F.col(c), digits) for c in columns})
+    return round_columns(df, columns, digits)
 
 
 # ---- shared steps, not registered -----------------------------------------------------------------------------------
@@ -54,12 +54,8 @@ def trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.trip_daily_fact(silver.silver_trips(views.trips(spark, sf_dir)))
 
 
-def air_bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze.bronze_air(views.measurements(spark, sf_dir))
-
-
 def air_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.air_daily_fact(silver.silver_air(air_bronze_rows(spark, sf_dir)))
+    return gold.air_daily_fact(silver.silver_air(views.air_table(spark, sf_dir)))
 
 
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,12 +181,12 @@ def load_reconciliation_by_month(spark, sf_dir):
 
 @query
 def air_bronze(spark, sf_dir):
-    return air_bronze_rows(spark, sf_dir)
+    return bronze.bronze_air(views.measurements(spark, sf_dir))
 
 
 @query
 def air_silver(spark, sf_dir):
-    return silver.silver_air(air_bronze_rows(spark, sf_dir))
+    return silver.silver_air(views.air_table(spark, sf_dir))
 
 
 @query
@@ -200,22 +196,22 @@ def air_daily_fact(spark, sf_dir):
 
 @query
 def air_profile(spark, sf_dir):
-    return aggregate.time_profile(air_bronze_rows(spark, sf_dir), "measured_at")
+    return aggregate.time_profile(views.air_table(spark, sf_dir), "measured_at")
 
 
 @query
 def air_count_by_parameter(spark, sf_dir):
-    return aggregate.count_by(air_bronze_rows(spark, sf_dir), "parameter")
+    return aggregate.count_by(views.air_table(spark, sf_dir), "parameter")
 
 
 @query
 def air_count_since(spark, sf_dir):
-    return aggregate.count_since(air_bronze_rows(spark, sf_dir), "parameter", "measured_at", _at("2024-01-15 00:00:00"))
+    return aggregate.count_since(views.air_table(spark, sf_dir), "parameter", "measured_at", _at("2024-01-15 00:00:00"))
 
 
 @query
 def air_hourly_count(spark, sf_dir):
-    return aggregate.count_per_hour(air_bronze_rows(spark, sf_dir), "measured_at")
+    return aggregate.count_per_hour(views.air_table(spark, sf_dir), "measured_at")
 
 
 @query
@@ -236,7 +232,7 @@ def _trips_with_air(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trip_air_joined(spark, sf_dir):
-    return _rounded(_trips_with_air(spark, sf_dir), reports.COMPARED)
+    return _rounded(_trips_with_air(spark, sf_dir).orderBy("date"), reports.COMPARED)
 
 
 @query
@@ -329,13 +325,13 @@ def sensor_activity(spark, sf_dir):
 @query
 def sensor_span(spark, sf_dir):
     return coverage.sensor_span(
-        locations(spark, sf_dir), air_bronze_rows(spark, sf_dir), ["co", "o3"], date(2022, 1, 1), date(2024, 12, 31)
+        locations(spark, sf_dir), views.air_table(spark, sf_dir), ["co", "o3"], date(2022, 1, 1), date(2024, 12, 31)
     )
 
 
 @query
 def sensor_last_seen(spark, sf_dir):
-    return coverage.sensor_last_seen(locations(spark, sf_dir), air_bronze_rows(spark, sf_dir), ["co", "o3"])
+    return coverage.sensor_last_seen(locations(spark, sf_dir), views.air_table(spark, sf_dir), ["co", "o3"])
 
 
 @query
@@ -412,7 +408,7 @@ def weather_range_replace(spark, sf_dir):
 @query
 def weather_json_lines(spark, sf_dir):
     lines = json_lines(weather(spark, sf_dir))
-    parsed = lines.select(F.from_json("line", WEATHER_HOURLY).alias("row")).select("row.*")
+    parsed = lines.select(F.inline(F.array(F.from_json("line", WEATHER_HOURLY))))
     return _rounded(parsed, WEATHER_ROUNDED)
 
 

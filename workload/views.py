@@ -8,15 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trilayer.schemas import FX_FILE, HOURLY_FIELDS
+from trilayer.sources.measurements import POLLUTANTS
 
 HOURS_PER_PAYLOAD = 216
 HOURS_PER_SITE = 17544
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is read once per process to learn the schema."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _when_every(column: str, n: int) -> Column:
@@ -31,10 +40,9 @@ def _with_copies(df: DataFrame, twice: Column) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips from lineitem, days moved onto 2023 and 2024."""
-    day = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")) % 731
-    hours = (day * 24 + F.col("l_orderkey") % 24).cast("int")
+    day = F.expr("unix_date(date'2023-01-01') + datediff(cast(l_shipdate as date), date'1995-01-01') % 731")
     items = table(spark, sf_dir, "lineitem").select(
-        F.timestamp_add("HOUR", hours, F.lit("2023-01-01 00:00:00").cast("timestamp_ntz")).alias("tpep_pickup_datetime"),
+        F.timestamp_seconds(day * 86400 + F.col("l_orderkey") % 24 * 3600).alias("tpep_pickup_datetime"),
         F.col("l_suppkey").alias("PULocationID"),
         F.when(_when_every("l_orderkey", 40), -F.col("l_extendedprice"))
         .otherwise(F.col("l_extendedprice"))
@@ -76,16 +84,13 @@ def _sensor(location: Column, parameter: Column) -> Column:
     return (location * 10 + F.array_position(order, parameter)).cast("int")
 
 
-def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurement file rows from events: time as local text with offset, some rows twice, an unlisted parameter."""
+def air_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the shape of the bronze air table from events, some of them twice, with an unlisted parameter."""
     location = F.col("user_id").cast("int")
     rows = table(spark, sf_dir, "events").select(
         location.alias("location_id"),
-        _sensor(location, _parameter()).alias("sensors_id"),
-        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("location"),
-        F.concat(
-            F.date_format(F.col("ts") - F.expr("interval 5 hours"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")
-        ).alias("datetime"),
+        _sensor(location, _parameter()).alias("sensor_id"),
+        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("location_name"),
         (F.lit(40.4) + (F.col("user_id") % 50) / F.lit(100.0)).alias("lat"),
         (F.lit(-74.2) + (F.col("user_id") % 50) / F.lit(100.0)).alias("lon"),
         _parameter().alias("parameter"),
@@ -95,11 +100,28 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("value"))
         .alias("value"),
         _record_key().alias("source_file"),
+        F.date_trunc("second", "ts").cast("timestamp").alias("measured_at"),
         F.col("event_id").alias("_id"),
     )
     return _with_copies(rows, _when_every("_id", 50)).drop("_id")
 
 
+def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the shape of the measurement files: other names, time as local text with an offset."""
+    local = F.date_format(F.col("measured_at") - F.expr("interval 5 hours"), "yyyy-MM-dd'T'HH:mm:ss")
+    return (
+        air_rows(spark, sf_dir)
+        .withColumn("datetime", F.concat(local, F.lit("-05:00")))
+        .drop("measured_at")
+        .withColumnsRenamed({"sensor_id": "sensors_id", "location_name": "location"})
+    )
+
+
+def air_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bronze air table holds: listed pollutants."""
+    return air_rows(spark, sf_dir).filter(F.col("parameter").isin(POLLUTANTS))
+
+
 def _record_key() -> Column:
     """File key of an event: years 2022 to 2024, every seventh location without 2024."""
     year = F.lit(2022) + F.col("event_id") % F.when(_when_every("user_id", 7), 2).otherwise(3)
