@@ -29,13 +29,12 @@ class _Bracket:
     rank: int
     low: float
     high: float
+    # a wider range that is known to hold the rank
+    floor: float
+    ceiling: float
     # rows below the range, on its lower end, strictly inside, on its upper end
     counts: tuple[int, ...] = field(default=())
 
-    @property
-    def span(self) -> tuple[str, float, float]:
-        return self.column, self.low, self.high
-
     @property
     def inside(self) -> int:
         return self.counts[2]
@@ -117,14 +116,13 @@ def _count(df: DataFrame, brackets: list[_Bracket]) -> None:
         )
 
 
-def _order_statistics(
-    df: DataFrame, brackets: list[_Bracket], limits: dict[str, tuple[float, float]], accuracy: int, most: int
-) -> list[float]:
+def _order_statistics(df: DataFrame, brackets: list[_Bracket], accuracy: int, most: int) -> list[float]:
     """The exact value at each bracket's rank.
 
-    Counting verifies each bracket, so a sketch that is off costs another pass and never a wrong result.  A bracket
-    with too many values inside is sketched again from these values alone.  All but a few in `accuracy` of them then
-    lie on the new ends or outside, so the number of passes grows with the logarithm of the row count.
+    Counting verifies each bracket.  One that misses its rank moves to the side, within the range known to hold it, so a
+    sketch that is off costs another pass and never a wrong result.  A bracket with too many values inside is sketched
+    again from these values alone.  All but a few in `accuracy` of them then lie on the new ends or outside, so the
+    number of passes grows with the logarithm of the row count.
     """
     unsettled = brackets
     while unsettled:
@@ -133,12 +131,13 @@ def _order_statistics(
         for b in unsettled:
             place = b.place()
             if place == "before":
-                b.low, b.high = limits[b.column][0], b.low
+                b.low, b.high, b.ceiling = b.floor, b.low, b.low
                 moved.append(b)
             elif place == "after":
-                b.low, b.high = b.high, limits[b.column][1]
+                b.low, b.high, b.floor = b.high, b.ceiling, b.high
                 moved.append(b)
             elif place == "inside" and b.inside > most:
+                b.floor, b.ceiling = b.low, b.high
                 crowded.append(b)
         sketches = [_sketch(_strictly_inside(b), [b.inside_rank / (b.inside - 1)], accuracy) for b in crowded]
         for b, ends in zip(crowded, _fetch(df, sketches)):
@@ -180,13 +179,12 @@ def numeric_summary(
     found = _fetch(numbers, stats)
     facts = {name: found[6 * i : 6 * i + 6] for i, name in enumerate(numbers.columns)}
 
-    brackets, limits = [], {}
+    brackets = []
     for name, (count, _, _, low, high, probes) in facts.items():
-        limits[name] = (low, high)
         for i, p in enumerate(QUARTILES if count else []):
             below, above, _ = _ranks(count, p)
-            brackets += [_Bracket(name, rank, probes[2 * i], probes[2 * i + 1]) for rank in {below, above}]
-    values = _order_statistics(numbers, brackets, limits, accuracy, max_candidates)
+            brackets += [_Bracket(name, rank, *probes[2 * i : 2 * i + 2], low, high) for rank in {below, above}]
+    values = _order_statistics(numbers, brackets, accuracy, max_candidates)
     exact = {(b.column, b.rank): value for b, value in zip(brackets, values)}
 
     def quartile(name: str, count: int, p: float) -> float | None:

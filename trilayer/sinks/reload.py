@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,21 @@ def _partitions(spark: SparkSession, name: str, key: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}").select(value(0).alias(key), value(1).try_cast("date").alias(DAY))
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that receive rows.  Spark then also allows reading the table that is written.
+
+    Inserting into a table takes this from the session, not from a write option.
+    """
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
     """Replace the rows of the batch's keys within the batch's time bounds by the batch; returns the batch's row count.
 
@@ -40,8 +58,10 @@ def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
     edge days are fetched, at most as many as the calendar has, and prune the scan as literals.  The batch's partitions
     are overwritten; partitions in between for which the batch has no rows are dropped.
 
-    Safe to repeat after a failure.  On plain files it is not atomic for readers: the overwrite comes before the drop.
-    The batch is read several times and must not read from the table; pass a table or files, not an expensive query.
+    A repeated run gives the same table.  On plain files the change is not atomic: the commit replaces partition folders
+    one after another and the drop follows, so readers can see it half done, and a driver lost during the commit can
+    cost rows of an edge day.  The batch is read several times and must not read from the table; pass a table or files,
+    not an expensive query.
     """
     spark = batch.sparkSession
     if not batch.filter(F.col(key).isNull() | F.col(ts).isNull()).isEmpty():
@@ -66,7 +86,8 @@ def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
 
     seen = Observation()
     rows = _balanced(kept.unionByName(fresh), [key, DAY]).observe(seen, F.count_if("_new").alias("rows"))
-    rows.drop("_new").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    with _dynamic_overwrite(spark):
+        rows.drop("_new").write.mode("overwrite").insertInto(name)
     for part in to_drop:
         text = str(part[key]).replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({key}='{text}', {DAY}='{part[DAY]}')")

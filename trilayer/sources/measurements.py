@@ -20,19 +20,28 @@ POLLUTANTS = ["pm25", "no2", "o3", "co", "so2", "no", "nox", "pm10", "pm1"]
 _PIECE = 1 << 20
 
 
-def _gzip_is_whole(content: bytes) -> bool:
-    """Inflate piece by piece, keeping nothing."""
+def _header_if_whole(content: bytes) -> str | None:
+    """The first line of a gzip file, or None if it is empty or cannot be inflated to its end.
+
+    Inflates piece by piece and keeps the first line only.
+    """
     try:
         with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+            header = stream.readline()
             while stream.read(_PIECE):
                 pass
     except (OSError, EOFError, zlib.error):
-        return False
-    return len(content) > 0
+        return None
+    return header.decode("utf-8-sig").strip() or None
 
 
 def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
-    """Paths of gzip files that end early or do not inflate.  Files are checked in parallel, one at a time per task."""
+    """Paths of gzip files that are empty, end early or do not inflate.  Files are checked in parallel by the tasks.
+
+    A whole file with other columns than expected is an error: read by position it would give wrong values, and left
+    out it would be missed.
+    """
+    expected = ",".join(MEASUREMENT_FILE.names)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -43,8 +52,11 @@ def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            damaged = [not _gzip_is_whole(content) for content in batch["content"]]
-            yield batch.loc[damaged, ["path"]]
+            headers = [_header_if_whole(content) for content in batch["content"]]
+            for path, header in zip(batch["path"], headers):
+                if header not in (None, expected):
+                    raise ValueError(f"unexpected columns in {path}: {header}")
+            yield batch.loc[[header is None for header in headers], ["path"]]
 
     return files.mapInPandas(check, "path string")
 
@@ -63,7 +75,7 @@ def scan_measurements(
       before the damage, so the files are checked first and the damaged ones are taken out by an anti join; the join is
       left to the optimizer, which broadcasts the path list only while it is small.  Without it a damaged file fails
       the job.
-    * A file whose header differs from the schema fails the job rather than shifting columns.
+    * A whole file whose header differs from the schema fails the job rather than shifting columns.
     """
     wanted = POLLUTANTS if pollutants is None else pollutants
     rows = (
