@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of the tables      (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores               (default 8)
-BENCH_RUNS     timed runs per query      (default 3, the median counts, after one warm-up run)
+BENCH_RUNS     timed runs per query      (default 1, the median counts, after one warm-up run)
 BENCH_QUERIES  comma-separated names     (default: all)
 
 Each run builds the query anew and consumes every row with a sink that stores nothing.
@@ -23,7 +23,7 @@ from workload.catalog import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def run(spark, build) -> float:
