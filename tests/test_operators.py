@@ -168,14 +168,14 @@ SAMPLES = {
 }
 
 
-@pytest.mark.parametrize("accuracy,most", [(10_000, 50_000), (20, 10)])
-def test_numeric_summary_equals_pandas(spark, accuracy, most):
+@pytest.mark.parametrize("accuracy,steps,most", [(2000, 500, 50_000), (20, 10, 10)])
+def test_numeric_summary_equals_pandas(spark, accuracy, steps, most):
     """Coarse sketches and a tiny limit make brackets miss, crowd and be refined."""
     rng = np.random.default_rng(11)
     frame = pd.DataFrame({name: make(rng) for name, make in SAMPLES.items()})
     frame["gaps"] = frame["normal"].where(frame["normal"] > 0.3)
     df = spark.createDataFrame(frame)  # NaN stands for missing
-    found = quantiles.numeric_summary(df, accuracy=accuracy, max_candidates=most)
+    found = quantiles.numeric_summary(df, accuracy=accuracy, steps=steps, max_candidates=most)
     for row in found.collect():
         expected = describe(frame[row["column"]])
         assert list(row)[1:] == pytest.approx(expected, rel=1e-9), row["column"]
@@ -184,7 +184,7 @@ def test_numeric_summary_equals_pandas(spark, accuracy, most):
 def test_numeric_summary_with_a_useless_sketch(spark):
     values = [float(v % 13) + v / 100 for v in range(40)]
     df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
-    (row,) = quantiles.numeric_summary(df, accuracy=4, max_candidates=1).collect()
+    (row,) = quantiles.numeric_summary(df, accuracy=4, steps=4, max_candidates=1).collect()
     assert list(row)[1:] == pytest.approx(describe(values), rel=1e-9)
 
 
@@ -204,6 +204,13 @@ def test_numeric_summary_of_few_rows(spark, values):
             assert list(row)[1:] == pytest.approx(expected)
 
 
+def test_numeric_summary_of_sorted_partitions(spark):
+    """Each task sees another range of values."""
+    df = spark.range(0, 20_000, 1, 16).selectExpr("cast(id as double) * id as v")
+    (row,) = quantiles.numeric_summary(df, accuracy=50, steps=20, max_candidates=100).collect()
+    assert list(row)[1:] == pytest.approx(describe([float(i) * i for i in range(20_000)]), rel=1e-9)
+
+
 def test_no_numeric_column(spark):
     assert quantiles.numeric_summary(spark.createDataFrame([("a",)], "s string")).count() == 0
 

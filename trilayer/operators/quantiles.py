@@ -12,7 +12,11 @@ from pyspark.sql import types as T
 from trilayer.functions.numeric import nan_to_null
 
 QUARTILES = [0.25, 0.5, 0.75]
-SKETCH_ACCURACY = 10_000
+# Inverse of a sketch's rank error, and number of steps between the quantiles taken from one.
+SKETCH_ACCURACY = 2_000
+SKETCH_STEPS = 500
+# Most sketches that meet in the end.
+SKETCH_GROUPS = 256
 # Most values of one bracket that are brought together to pick from.
 MAX_CANDIDATES = 50_000
 
@@ -62,18 +66,37 @@ def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*(nan_to_null(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
 
 
-def _sketch(value: str, around: list[float], accuracy: int) -> str:
-    """SQL for approximate quantiles a little below and above each probability."""
-    margin = 2.0 / accuracy
-    probes = [max(0.0, min(1.0, p + side * margin)) for p in around for side in (-1, 1)]
-    return f"percentile_approx({value}, array({', '.join(f'{p!r}D' for p in probes)}), {accuracy})"
-
-
 def _fetch(df: DataFrame, aggregates: list[str]) -> list:
     """One row of aggregates."""
     return list(df.agg(*(F.expr(text).alias(f"a{i}") for i, text in enumerate(aggregates))).first()) if aggregates else []
 
 
+def _array(numbers: list[float]) -> str:
+    return f"array({', '.join(f'{x!r}D' for x in numbers)})"
+
+
+def _around(df: DataFrame, values: list[str], around: list[list[float]], accuracy: int, steps: int) -> list[list[float]]:
+    """Approximate quantiles a little below and above each probability, per value expression.
+
+    Sketches of many thousand tasks would queue for one merging task, so tasks merge in groups first.  Each group hands
+    on evenly spaced quantiles and its row count, and the quantiles of these weighted points are off by no more than
+    one step and the sketch's error, however differently the groups are distributed.
+    """
+    spaced = _array([i / steps for i in range(steps + 1)])
+    groups = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
+        *(F.expr(f"count({v})").alias(f"n{i}") for i, v in enumerate(values)),
+        *(F.expr(f"percentile_approx({v}, {spaced}, {accuracy})").alias(f"q{i}") for i, v in enumerate(values)),
+    )
+    summaries = ", ".join(f"named_struct('i', {i}, 'n', n{i}, 'q', q{i})" for i in range(len(values)))
+    points = groups.selectExpr(f"inline(array({summaries}))").selectExpr("i", "n", "explode(q) as x")
+    margin = 1.0 / steps + 2.0 / accuracy
+    wanted = []
+    for i, probabilities in enumerate(around):
+        probes = [max(0.0, min(1.0, p + side * margin)) for p in probabilities for side in (-1, 1)]
+        wanted.append(f"percentile(if(i = {i}, x, null), {_array(probes)}, n)")
+    return _fetch(points, wanted)
+
+
 def _strictly_inside(b: _Bracket) -> str:
     return f"if({b.column} > {_number(b.low)} and {b.column} < {_number(b.high)}, {b.column}, null)"
 
@@ -116,13 +139,13 @@ def _count(df: DataFrame, brackets: list[_Bracket]) -> None:
         )
 
 
-def _order_statistics(df: DataFrame, brackets: list[_Bracket], accuracy: int, most: int) -> list[float]:
+def _order_statistics(df: DataFrame, brackets: list[_Bracket], accuracy: int, steps: int, most: int) -> list[float]:
     """The exact value at each bracket's rank.
 
     Counting verifies each bracket.  One that misses its rank moves to the side, within the range known to hold it, so a
     sketch that is off costs another pass and never a wrong result.  A bracket with too many values inside is sketched
-    again from these values alone.  All but a few in `accuracy` of them then lie on the new ends or outside, so the
-    number of passes grows with the logarithm of the row count.
+    again from these values alone.  All but a few hundredths of them then lie on the new ends or outside, so the number
+    of passes grows with the logarithm of the row count.
     """
     unsettled = brackets
     while unsettled:
@@ -139,9 +162,11 @@ def _order_statistics(df: DataFrame, brackets: list[_Bracket], accuracy: int, mo
             elif place == "inside" and b.inside > most:
                 b.floor, b.ceiling = b.low, b.high
                 crowded.append(b)
-        sketches = [_sketch(_strictly_inside(b), [b.inside_rank / (b.inside - 1)], accuracy) for b in crowded]
-        for b, ends in zip(crowded, _fetch(df, sketches)):
-            b.low, b.high = ends
+        if crowded:
+            shares = [[b.inside_rank / (b.inside - 1)] for b in crowded]
+            ends = _around(df, [_strictly_inside(b) for b in crowded], shares, accuracy, steps)
+            for b, (low, high) in zip(crowded, ends):
+                b.low, b.high = low, high
         unsettled = moved + crowded
 
     picking = [b for b in brackets if b.place() == "inside"]
@@ -161,30 +186,33 @@ def numeric_summary(
     df: DataFrame,
     columns: list[str] | None = None,
     accuracy: int = SKETCH_ACCURACY,
+    steps: int = SKETCH_STEPS,
     max_candidates: int = MAX_CANDIDATES,
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of every numeric column, one row per column.
 
     Quartiles interpolate between neighbouring values.  Null and NaN are skipped.  Runs a few jobs over `df` right away
-    and fetches only counts, bracket ends and the final figures: a mergeable sketch brackets each quartile, counts
-    verify the bracket, and only the few values strictly inside it are sorted.  Write an expensive `df` to a table
-    first, since it is read three times or more.
+    and fetches only counts, bracket ends and the final figures: sketches bracket each quartile, counts verify the
+    bracket, and only the values strictly inside it are sorted, at most `max_candidates` of them.  Write an expensive
+    `df` to a table first, since it is read four times or more.
     """
     columns = numeric_columns(df) if columns is None else columns
     numbers = _numbers(df, columns)
     stats = []
     for v in numbers.columns:
         stats += [f"count({v})", f"avg({v})", f"stddev_samp({v})", f"min({v})", f"max({v})"]
-        stats += [_sketch(v, QUARTILES, accuracy)]
     found = _fetch(numbers, stats)
-    facts = {name: found[6 * i : 6 * i + 6] for i, name in enumerate(numbers.columns)}
+    facts = {name: found[5 * i : 5 * i + 5] for i, name in enumerate(numbers.columns)}
+    filled = [name for name, (count, *_) in facts.items() if count]
+    ends = _around(numbers, filled, [QUARTILES] * len(filled), accuracy, steps) if filled else []
 
     brackets = []
-    for name, (count, _, _, low, high, probes) in facts.items():
-        for i, p in enumerate(QUARTILES if count else []):
+    for name, probes in zip(filled, ends):
+        count, _, _, low, high = facts[name]
+        for i, p in enumerate(QUARTILES):
             below, above, _ = _ranks(count, p)
             brackets += [_Bracket(name, rank, *probes[2 * i : 2 * i + 2], low, high) for rank in {below, above}]
-    values = _order_statistics(numbers, brackets, accuracy, max_candidates)
+    values = _order_statistics(numbers, brackets, accuracy, steps, max_candidates)
     exact = {(b.column, b.rank): value for b, value in zip(brackets, values)}
 
     def quartile(name: str, count: int, p: float) -> float | None:
@@ -195,6 +223,6 @@ def numeric_summary(
 
     rows = [
         Row(column, count, mean, std, low, *(quartile(name, count, p) for p in QUARTILES), high)
-        for column, (name, (count, mean, std, low, high, _)) in zip(columns, facts.items())
+        for column, (name, (count, mean, std, low, high)) in zip(columns, facts.items())
     ]
     return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
