@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from trilayer.functions.numeric import round_columns
 from trilayer.operators import aggregate, coverage, joins, quality, quantiles, reload
@@ -31,9 +32,15 @@ NOW = "2024-12-31 00:00:00"
 WEATHER_ROUNDED = ["wind_speed_ms", "wind_gusts_ms", "heat_index_c", "wind_chill_c", "comfort_index"]
 
 
+def _zoneless(df: DataFrame) -> DataFrame:
+    """Instants as UTC wall time, so that a client's own zone does not shift them on the way out."""
+    instants = [f.name for f in df.schema if isinstance(f.dataType, TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in instants}) if instants else df
+
+
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(configure(spark), sf_dir)
+        return _zoneless(build(configure(spark), sf_dir))
 
     QUERIES[build.__name__] = run
     return run
