@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+# Collected instants come out in the process's zone.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 from trilayer.session import local_session  # noqa: E402
 from trilayer.sources.tables import create_layers  # noqa: E402
 

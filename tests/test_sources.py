@@ -13,7 +13,7 @@ from trilayer.plans.bronze import bronze_air, bronze_fx, bronze_gdp
 from trilayer.schemas import FX_FILE
 from trilayer.sources import reference_data, tables
 from trilayer.sources.calendar import calendar_days
-from trilayer.sources.measurements import damaged_files, scan_measurements
+from trilayer.sources.measurements import STATIONS, damaged_files, listed_stations, scan_measurements
 from trilayer.sources.trips import scan_trips, trip_paths
 from trilayer.sources.weather import scan_weather
 
@@ -64,6 +64,13 @@ def test_measurements_skip_a_cut_file_whole(spark, air_tree):
     assert [r["path"].rsplit("/", 1)[-1] for r in damaged] == ["location-2-20230101.csv.gz"]
 
 
+def test_listed_stations(spark):
+    rows = spark.createDataFrame([(384,), (5,), (6166696,), (None,)], "location_id int")
+    assert len(STATIONS) == 19
+    assert {r[0] for r in listed_stations(rows).collect()} == {384, 6166696}
+    assert listed_stations(rows, stations=[5]).count() == 1
+
+
 def test_measurements_without_tolerance_fail(spark, air_tree):
     with pytest.raises(Exception):
         scan_measurements(spark, [str(air_tree)], skip_damaged=False).collect()

@@ -105,13 +105,34 @@ RELATIONSHIPS = [
 ]
 
 
+# Columns the model sums unless told otherwise.  Sums of means, coordinates and ids have little meaning;
+# name measures of your own where it matters.
+SUMMED = {
+    "facttaxidaily": [
+        "trip_count", "avg_fare_usd", "total_fare_usd", "avg_fare_eur", "avg_distance", "avg_passengers",
+    ],
+    "factairqualitydaily": [
+        "location_id", "measurement_count", "avg_value", "min_value", "max_value", "lat", "lon",
+    ],
+    "rpt_taxi_fx_daily": [
+        "year", "month", "total_trips", "total_fare_usd", "theoretical_fare_eur", "eur_difference", "usd_eur_rate",
+        "fixed_fare_eur",
+    ],
+    "rpt_taxi_gdp_yearly": [
+        "year", "total_trips", "total_fare_usd", "avg_fare_usd", "gdp_usd", "taxi_revenue_pct_of_gdp",
+    ],
+}
+
+
 def model_query(
-    tables: dict[str, DataFrame], fact: str, by: list[str], measures: dict[str, tuple[str, str]]
+    tables: dict[str, DataFrame], fact: str, by: list[str], measures: dict[str, tuple[str, str]] | None = None
 ) -> DataFrame:
     """Measures of a model fact by attributes of the dimensions it is related to.
 
-    A dimension joins only if one of its attributes is asked for.
+    A dimension joins only if one of its attributes is asked for.  Without `measures`, the model's own sums.
     """
+    if measures is None:
+        measures = {c: ("sum", c) for c in SUMMED[fact] if c not in by}
     own = set(tables[fact].columns)
     wanted = set(by) - own
     dims = [

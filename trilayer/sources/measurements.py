@@ -17,9 +17,37 @@ from trilayer.schemas import MEASUREMENT_FILE
 # The pollutants kept.
 POLLUTANTS = ["pm25", "no2", "o3", "co", "so2", "no", "nox", "pm10", "pm1"]
 
+# The stations kept.
+STATIONS = {
+    384: "CCNY",
+    625: "Manhattan/IS143",
+    626: "Bronx - IS52",
+    628: "Maspeth",
+    631: "Queens",
+    648: "Bklyn - PS 314",
+    664: "Bklyn - PS274",
+    665: "Bronx - IS74",
+    666: "Pfizer Lab",
+    292229: "Morrisania",
+    1824516: "Bayside, NY",
+    2616564: "7th Ave and W 16th St",
+    2903996: "Win Son",
+    3041962: "Near Bay 50 St",
+    3181018: "Hillcrest, NY",
+    4727343: "E Houston St between Clinton St & Attorney St",
+    4811604: "Caton Ave and Ocean Pkwy, Brooklyn",
+    6091551: "Brooklyn",
+    6166696: "Downtown Manhattan FiDi/Seaport",
+}
+
 _PIECE = 1 << 20
 
 
+def listed_stations(df: DataFrame, key: str = "location_id", stations: list[int] | None = None) -> DataFrame:
+    """Rows of the listed stations.  For a list kept in a table use `trilayer.operators.joins.keep_listed`."""
+    return df.filter(F.col(key).isin(list(STATIONS) if stations is None else stations))
+
+
 def _header_if_whole(content: bytes) -> str | None:
     """The first line of a gzip file, or None if it is empty or cannot be inflated to its end.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from trilayer.plans.weather import enrich_weather
 from trilayer.schemas import FACT_TRIP_DAILY, FX_FILE, TEXT_BYTES, WAREHOUSE, WEATHER_HOURLY, conform
 from trilayer.session import configure
 from trilayer.sinks.documents import json_lines
-from trilayer.sources.calendar import days_covered
+from trilayer.sources.calendar import calendar_days, days_covered
 from trilayer.sources.reference_data import apply_types, gdp_rows, manifest_from_listing, parse_locations
 from trilayer.sources.weather import hourly_rows
 from workload import views
@@ -90,9 +90,12 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Model tables by name; plans only, a query pays for those it uses."""
+    """Model tables by name; plans only, a query pays for those it uses.
+
+    The facts keep to the period, so its calendar will do and the trips need not be read for their bounds.
+    """
     return {
-        "dimdate": calendar(spark, sf_dir),
+        "dimdate": gold.date_dim(calendar_days(spark)),
         "dimzone_fixed": gold.zone_dim_fixed(gold.zone_dim(views.zones(spark, sf_dir))),
         "facttaxidaily": trip_fact(spark, sf_dir),
         "factairqualitydaily": air_fact(spark, sf_dir),
@@ -154,6 +157,12 @@ def trip_by_quarter_weekend(spark, sf_dir):
     return _rounded(totals, ["total_fare_usd"], 2)
 
 
+@query
+def trip_model_sums(spark, sf_dir):
+    sums = gold.model_query(model(spark, sf_dir), "facttaxidaily", ["year", "borough"])
+    return _rounded(sums, [c for c in gold.SUMMED["facttaxidaily"] if c != "trip_count"], 2)
+
+
 @query
 def city_day_rollup(spark, sf_dir):
     return reports.city_day(trip_fact(spark, sf_dir))
@@ -228,6 +237,12 @@ def air_by_month(spark, sf_dir):
     return _rounded(gold.model_query(model(spark, sf_dir), "factairqualitydaily", by, measures), ["mean_value"])
 
 
+@query
+def air_model_sums(spark, sf_dir):
+    sums = gold.model_query(model(spark, sf_dir), "factairqualitydaily", ["year", "month"])
+    return _rounded(sums, ["avg_value", "min_value", "max_value", "lat", "lon"], 2)
+
+
 @query
 def air_pivot(spark, sf_dir):
     return _rounded(reports.air_by_day(air_fact(spark, sf_dir)), reports.COMPARED)
@@ -472,6 +487,31 @@ def trip_numeric_summary(spark, sf_dir):
     return _rounded(quantiles.numeric_summary(views.trips(spark, sf_dir), columns), SUMMARY_ROUNDED)
 
 
+@query
+def quality_report_head(spark, sf_dir):
+    """The report document without its nested lists, these as their lengths."""
+    report = quality.quality_report(
+        weather(spark, sf_dir),
+        quality.WEATHER_RULES,
+        "Weather Data Quality Report",
+        "weather_hourly_enriched",
+        datetime.fromisoformat(FETCHED_AT),
+        ["ts", "location_key"],
+    )
+    lists = ["failures", "null_summary", "numeric_summary", "first_rows"]
+    return report.select(
+        "report_name",
+        "source",
+        "generated_at_utc",
+        "rows_checked",
+        "success",
+        "statistics.*",
+        *(F.size(c).alias(c) for c in lists),
+        F.element_at("null_summary", 1)["column"].alias("most_nulls_in"),
+        F.element_at("first_rows", 1)["ts"].alias("first_ts"),
+    )
+
+
 # ---- warehouse ------------------------------------------------------------------------------------------------------
 
 

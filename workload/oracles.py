@@ -406,6 +406,19 @@ ORACLES: dict[str, str] = {
         select "quarter", is_weekend, cast(sum(trip_count) as bigint) as trip_count,
                {r("sum(total_fare_usd)", 2)} as total_fare_usd
         from trip_fact f left join calendar c on f.date_key = c.date_key group by 1, 2""",
+    "trip_model_sums": f"""with {TRIP_FACT}, {ZONES}, {CALENDAR}
+        select c."year", "Borough" as borough, cast(sum(trip_count) as bigint) as trip_count,
+               {r("sum(avg_fare_usd)", 2)} as avg_fare_usd, {r("sum(total_fare_usd)", 2)} as total_fare_usd,
+               {r("sum(avg_fare_eur)", 2)} as avg_fare_eur, {r("sum(avg_distance)", 2)} as avg_distance,
+               {r("sum(avg_passengers)", 2)} as avg_passengers
+        from trip_fact f left join zones on zone_id = cast("LocationID" as bigint)
+             left join calendar c on f.date_key = c.date_key group by 1, 2""",
+    "air_model_sums": f"""with {AIR_FACT}, {TRIPS}, {CALENDAR}
+        select c."year", c."month", cast(sum(location_id) as bigint) as location_id,
+               cast(sum(measurement_count) as bigint) as measurement_count, {r("sum(avg_value)", 2)} as avg_value,
+               {r("sum(min_value)", 2)} as min_value, {r("sum(max_value)", 2)} as max_value,
+               {r("sum(lat)", 2)} as lat, {r("sum(lon)", 2)} as lon
+        from air_fact f left join calendar c on f.date_key = c.date_key group by 1, 2""",
     "city_day_rollup": f"with {TRIP_FACT}, {CITY_DAY} select * from city_day",
     "city_day_rollup_weighted": f"""with {TRIP_FACT}
         select "date", cast(sum(trip_count) as bigint) as total_trips,
@@ -506,6 +519,17 @@ ORACLES: dict[str, str] = {
     "numeric_summary": f"with {WEATHER} {number_summary('weather', WEATHER_NUMBERS)}",
     "trip_numeric_summary": f"""with {TRIPS}
         {number_summary('trips', ['fare_amount', 'trip_distance', 'passenger_count'])}""",
+    "quality_report_head": f"""with {WEATHER}, {WEATHER_RESULTS}
+        select 'Weather Data Quality Report' as report_name, 'weather_hourly_enriched' as "source",
+               '2026-01-01T00:00:00' as generated_at_utc, (select count(*) from weather) as rows_checked,
+               bool_and(success) as success, count(*) as evaluated_expectations,
+               count(*) filter (where success) as successful_expectations,
+               count(*) filter (where not success) as unsuccessful_expectations,
+               cast(count(*) filter (where not success) as int) as failures, 20 as null_summary,
+               {len(WEATHER_NUMBERS)} as numeric_summary, 5 as first_rows,
+               (select "column" from ({NULL_ROWS}) order by null_count desc, "column" limit 1) as most_nulls_in,
+               (select strftime(min(ts), '%Y-%m-%d %H:%M:%S') from weather) as first_ts
+        from results""",
     "warehouse_conform": f"with {AIR_FACT} select * from air_fact",
     "warehouse_append_twice": f"with {TRIP_FACT} select * from trip_fact union all select * from trip_fact",
 }
