@@ -45,6 +45,18 @@ def test_partitioned_write_makes_few_files(spark):
     assert len(files) <= 6 * 4
 
 
+def test_empty_frames(spark):
+    """Counting a write of nothing must neither wait nor fail."""
+    assert tables.write_table(spark.range(3).filter("id > 9"), "bronze.t4") == 0
+    assert tables.write_table(spark.range(3).filter("1 = 0"), "bronze.t4") == 0
+    nothing = spark.createDataFrame([], "a int, parameter string")
+    assert tables.write_table(nothing, "bronze.t4", partition_by=["parameter"]) == 0
+    name = "silver.weather_e"
+    create_time_table(hours(spark, "a", 0, 30, 1), name, "site", "ts")
+    assert replace_range(hours(spark, "a", 0, 30, 1).filter("v > 1"), name, "site", "ts") == 0
+    assert spark.table(name).count() == 30
+
+
 def test_mapped_replace(spark):
     rows = spark.range(2).selectExpr("id as x", "'drop' as y", "id as `a b`")
     assert tables.replace_mapped(rows, "bronze.t3", {"a b": "b", "x": "a"}) == 2

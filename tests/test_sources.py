@@ -50,7 +50,7 @@ def air_tree(tmp_path):
 
 
 def test_measurements_skip_a_cut_file_whole(spark, air_tree):
-    rows = scan_measurements(spark, [str(air_tree)], base=str(air_tree))
+    rows = scan_measurements(spark, [str(air_tree), str(air_tree / "absent")], base=str(air_tree))
     assert rows.columns[-1] == "source_file" and "year" not in rows.columns
     found = {(r["location_id"], r["parameter"], r["location"], r["value"], r["source_file"]) for r in rows.collect()}
     prefix = "records/csv.gz/locationid={0}/year=2023/month=01/location-{0}-202301{1:02d}.csv.gz"
@@ -60,10 +60,16 @@ def test_measurements_skip_a_cut_file_whole(spark, air_tree):
         (1, "o3", "CCNY", None, prefix.format(1, 2)),
         (2, "no2", "Queens", 1.0, prefix.format(2, 2)),
     }
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     damaged = damaged_files(spark, [str(air_tree)]).collect()
     assert [r["path"].rsplit("/", 1)[-1] for r in damaged] == ["location-2-20230101.csv.gz"]
 
 
+def test_measurements_without_any_path(spark, tmp_path):
+    with pytest.raises(ValueError):
+        scan_measurements(spark, [str(tmp_path / "absent")])
+
+
 def test_listed_stations(spark):
     rows = spark.createDataFrame([(384,), (5,), (6166696,), (None,)], "location_id int")
     assert len(STATIONS) == 19

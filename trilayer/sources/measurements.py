@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import logging
 import zlib
 from collections.abc import Iterator
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from trilayer.functions.paths import relative_path
 from trilayer.schemas import MEASUREMENT_FILE
+from trilayer.sources.existing import existing_paths
+
+log = logging.getLogger(__name__)
 
 # The pollutants kept.
 POLLUTANTS = ["pm25", "no2", "o3", "co", "so2", "no", "nox", "pm10", "pm1"]
@@ -75,7 +79,7 @@ def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .load(paths)
-        .select("path", "content")
+        .select(F.col("_metadata.file_path").alias("path"), "content")
     )
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,14 +102,18 @@ def scan_measurements(
 ) -> DataFrame:
     """All measurement files below `paths` as one relation, with the file each row came from.
 
+    * An absent path is logged and left out.
     * Path segments `locationid=…/year=…/month=…` do not become columns.
-    * With `skip_damaged`, a file that cannot be read to its end gives no rows at all.  Spark alone would keep the rows
-      before the damage, so the files are checked first and the damaged ones are taken out by an anti join; the join is
-      left to the optimizer, which broadcasts the path list only while it is small.  Without it a damaged file fails
-      the job.
+    * With `skip_damaged`, a file that cannot be read to its end is logged and gives no rows at all.  Spark alone would
+      keep the rows before the damage, so a job checks the files first.  The damaged paths come to the driver, which
+      has listed all paths anyway, and leave the scan as a filter on the file path, without a join or an exchange.
+      Without it a damaged file fails the job.
     * A whole file whose header differs from the schema fails the job rather than shifting columns.
     """
     wanted = POLLUTANTS if pollutants is None else pollutants
+    paths = existing_paths(spark, paths)
+    if not paths:
+        raise ValueError("none of the measurement paths exists")
     rows = (
         spark.read.schema(MEASUREMENT_FILE)
         .option("header", "true")
@@ -117,7 +125,9 @@ def scan_measurements(
         .filter(F.col("parameter").isin(wanted))
         .select("*", F.col("_metadata.file_path").alias("_path"))
     )
-    if skip_damaged:
-        damaged = damaged_files(spark, paths).select(F.col("path").alias("_path"))
-        rows = rows.join(damaged, "_path", "left_anti")
+    damaged = [row["path"] for row in damaged_files(spark, paths).collect()] if skip_damaged else []
+    for path in damaged:
+        log.warning("left out %s: cannot be read to its end", path)
+    if damaged:
+        rows = rows.filter(~F.col("_path").isin(damaged))
     return rows.withColumn("source_file", relative_path(F.col("_path"), base) if base else F.col("_path")).drop("_path")
