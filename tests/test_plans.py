@@ -6,10 +6,9 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from trilayer.plans import gold, reports, silver
 from workload import views
-from workload.catalog import trip_fact, weather
+from workload.catalog import QUERIES, trip_fact, weather
 
 
 def plan_of(df):
@@ -17,9 +16,9 @@ def plan_of(df):
     return df._jdf.queryExecution().explainString(mode)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_pairwise_join_or_python(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "SinglePartition, REPARTITION"):
         assert operator not in plan
 
