@@ -113,7 +113,8 @@ class LineRuns:
 def _batched(hashes: DataFrame, docs: DataFrame, batches: int) -> DataFrame:
     """`batch` 0 has the largest ids, the last batch the smallest and null.  Bounds are quantiles, so sizes are alike."""
     shares = [i / batches for i in range(1, batches)]
-    bounds = sorted({int(b) for b in docs.select(F.col("doc_id").cast("long")).approxQuantile("doc_id", shares, 0.01)})
+    found = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, 1000)).first()[0] if shares else []
+    bounds = sorted(set(found or []))
     batch = F.lit(0)
     for bound in bounds:
         batch = batch + F.when(F.col("doc_id") > bound, 0).otherwise(1)
