@@ -274,10 +274,26 @@ def test_unknown_column_is_refused(spark):
         quality.run_rules(spark.range(1), [quality.not_null("nope")])
 
 
-def test_null_summary_order_and_limit(spark):
+def test_null_summary_order(spark):
     columns = {f"c{i:02d}": None if i % 3 == 0 else 1.0 for i in range(25)}
     df = spark.createDataFrame([tuple(columns.values())], ", ".join(f"{c} double" for c in columns))
     found = [(r["column"], r["null_count"], r["null_percent"]) for r in quality.null_summary(df).collect()]
-    assert len(found) == 20
+    assert len(found) == 25
     assert found[:9] == [(f"c{i:02d}", 1, 100.0) for i in range(0, 25, 3)]
     assert found[9] == ("c01", 0, 0.0)
+
+
+def test_star_query_refuses_a_second_row_of_a_key(spark):
+    fact = spark.createDataFrame([(1, 10.0)], "zone int, amount double")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "id int, borough string")
+    measures = {"total": ("sum", "amount")}
+    with pytest.raises(Exception, match="more than one row"):
+        joins.star_query(fact, [(dim, "zone", "id")], ["borough"], measures).collect()
+    once = dim.filter("borough <> 'b'")
+    assert [tuple(r) for r in joins.star_query(fact, [(once, "zone", "id")], ["borough"], measures).collect()] == [("a", 10.0)]
+
+
+def test_locations_without_a_last_time_are_left_out(spark):
+    shape = "id int, name string, datetimeLast struct<utc:string>, sensors array<struct<id:int,parameter:struct<name:string>>>"
+    rows = [(1, "a", ("2024-01-01T00:00:00Z",), [(10, ("no2",))]), (2, "b", (None,), [(11, ("no2",))]), (3, "c", None, [(12, ("no2",))])]
+    assert [tuple(r) for r in coverage.sensor_activity(spark.createDataFrame(rows, shape)).collect()] == [("no2", 1, 1)]

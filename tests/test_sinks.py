@@ -8,11 +8,12 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilayer.operators import quality, reload
 from trilayer.plans.gold import date_dim
 from trilayer.plans.weather import enrich_weather
-from trilayer.schemas import DIM_ZONE, HOURLY_FIELDS, conform
+from trilayer.schemas import DIM_ZONE, HOURLY_FIELDS, TEXT_BYTES, conform
 from trilayer.sinks import documents, tables
 from trilayer.sinks.reload import create_time_table, replace_range
 from trilayer.sources.calendar import calendar_days
@@ -66,12 +67,12 @@ def test_mapped_replace(spark):
 def test_append_and_load(spark):
     zone = spark.createDataFrame([("1", "Q", "Z" * 9000, None, 5)], "LocationID string, Borough string, Zone string, service_zone string, more int")
     for _ in range(2):
-        assert tables.append_table(zone, "warehouse.dimzone", DIM_ZONE) == 1
+        assert tables.append_table(zone, "warehouse.dimzone", DIM_ZONE, text_bytes=TEXT_BYTES) == 1
     assert spark.table("warehouse.dimzone").count() == 2
     assert spark.table("warehouse.dimzone").columns == ["LocationID", "Borough", "Zone", "service_zone"]
     assert spark.table("warehouse.dimzone").select(F.max(F.length("Zone"))).first()[0] == 8000
     for _ in range(2):
-        assert tables.load_table(zone, "warehouse.dimzone", DIM_ZONE) == 1
+        assert tables.load_table(zone, "warehouse.dimzone", DIM_ZONE, text_bytes=TEXT_BYTES) == 1
     assert spark.table("warehouse.dimzone").count() == 1
 
 
@@ -154,12 +155,12 @@ def test_json_lines_round_trip(spark, tmp_path):
 def test_quality_report_document(spark, tmp_path):
     at = datetime(2024, 6, 3, 1, 2, 3)
     report = quality.quality_report(
-        weather_rows(spark), quality.WEATHER_RULES, "Weather Data Quality Report", "weather_hourly", at, ["ts"]
+        weather_rows(spark), quality.WEATHER_RULES, "Weather Data Quality Report", "weather_hourly", at, ["ts"], top=20, first=5
     )
     path = documents.save_report(report, str(tmp_path), at)
     assert path.endswith("weather_quality_report_20240603_010203.json")
-    (file,) = Path(path).glob("part-*.json")
-    doc = json.loads(file.read_text())
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == [Path(path).name]
+    doc = json.loads(Path(path).read_text())
     assert doc["rows_checked"] == 30 and doc["success"] is True and doc["failures"] == []
     assert doc["statistics"] == {
         "evaluated_expectations": 14, "successful_expectations": 14, "unsuccessful_expectations": 0,
@@ -172,8 +173,27 @@ def test_quality_report_document(spark, tmp_path):
 
 def test_failing_report(spark):
     bad = weather_rows(spark).withColumn("rain_mm", F.lit(-1.0))
-    report = quality.quality_report(bad, quality.WEATHER_RULES, "r", "s", START, ["ts"]).first()
+    report = quality.quality_report(bad, quality.WEATHER_RULES, "r", "s", START, ["ts"], top=20, first=5).first()
     assert report["success"] is False
     assert [(f["expectation"], f["column"], f["unexpected_count"]) for f in report["failures"]] == [
         ("expect_column_values_to_be_between", "rain_mm", 30)
     ]
+
+
+def test_recreate_survives_a_failed_write(spark):
+    tables.write_table(spark.range(3), "bronze.kept")
+    with pytest.raises(Exception):
+        tables.write_table(spark.range(3).withColumn("x", F.expr("raise_error('lost')")), "bronze.kept", recreate=True)
+    assert spark.table("bronze.kept").count() == 3
+    assert tables.write_table(spark.table("bronze.kept").withColumn("x", F.lit("new")), "bronze.kept", recreate=True) == 3
+    assert spark.table("bronze.kept").columns == ["id", "x"]
+
+
+def test_losses_are_counted(spark):
+    rows = spark.createDataFrame([("1", "ééé"), ("x", "é"), (None, None)], "a string, b string")
+    shape = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    written = tables.append_table(rows, "bronze.lossy", shape, text_bytes=4)
+    assert (written, written.nulled, written.cut) == (3, 1, 1)
+    written = tables.load_table(rows, "bronze.lossy", shape)
+    assert (written, written.nulled, written.cut) == (3, 1, 0)
+    assert {r["b"] for r in spark.table("bronze.lossy").collect()} == {"ééé", "é", None}

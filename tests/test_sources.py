@@ -13,6 +13,7 @@ from trilayer.plans.bronze import bronze_air, bronze_fx, bronze_gdp
 from trilayer.schemas import FX_FILE
 from trilayer.sources import reference_data, tables
 from trilayer.sources.calendar import calendar_days
+from trilayer.sources.existing import existing_paths
 from trilayer.sources.measurements import STATIONS, damaged_files, listed_stations, scan_measurements
 from trilayer.sources.trips import scan_trips, trip_paths
 from trilayer.sources.weather import scan_weather
@@ -82,13 +83,47 @@ def test_measurements_without_tolerance_fail(spark, air_tree):
         scan_measurements(spark, [str(air_tree)], skip_damaged=False).collect()
 
 
-def test_measurements_with_other_header_fail(spark, tmp_path):
-    header = HEADER.replace("lat,lon", "lon,lat")
-    put_measurements(tmp_path, 3, 1, ["3,30,X,2023-01-01T00:00:00-05:00,1,2,pm25,ug,1\n"], header=header)
+def test_measurements_are_read_by_column_name(spark, tmp_path):
+    turned = HEADER.replace("lat,lon", "lon,lat")
+    quoted = ",".join(f'"{name}"' for name in HEADER.strip().split(",")) + "\n"
+    put_measurements(tmp_path, 3, 1, ["3,30,X,2023-01-01T00:00:00-05:00,1,2,pm25,ug,1\n"], header=turned)
+    put_measurements(tmp_path, 3, 2, ["3,30,X,2023-01-02T00:00:00-05:00,2,1,pm25,ug,1\n"], header=quoted)
+    put_measurements(tmp_path, 3, 3, ["3,30,X,2023-01-03T00:00:00-05:00,2,1,pm25,ug,1\n"])
+    rows = scan_measurements(spark, [str(tmp_path)]).collect()
+    assert [(r["lat"], r["lon"]) for r in rows] == [(2.0, 1.0)] * 3
+
+
+def test_measurements_without_a_column_fail(spark, tmp_path):
+    put_measurements(tmp_path, 3, 1, ["3,30,X,2023-01-01T00:00:00-05:00,1,pm25,ug,1\n"], header=HEADER.replace("lat,lon", "lat"))
     with pytest.raises(Exception):
         scan_measurements(spark, [str(tmp_path)]).collect()
 
 
+def test_measurements_damaged_after_the_check_fail(spark, air_tree, monkeypatch):
+    nothing = spark.createDataFrame([], "path string, header string")
+    monkeypatch.setattr("trilayer.sources.measurements.odd_files", lambda *_: nothing)
+    with pytest.raises(Exception):
+        scan_measurements(spark, [str(air_tree)]).collect()
+
+
+def test_trips_of_a_folder_with_two_schemas(spark, tmp_path):
+    for order in ((1, 2), (2, 1)):
+        folder = tmp_path / f"trips{order[0]}"
+        folder.mkdir()
+        for name, kind in zip("ab", order):
+            rows = spark.range(2).withColumn("extra", F.lit("x")) if kind == 1 else spark.range(3)
+            rows.toPandas().to_parquet(folder / f"{name}.parquet")
+        found = scan_trips(spark, [str(folder), str(tmp_path / "absent")])
+        assert found.columns[-1] == "extra" and (found.count(), found.filter("extra = 'x'").count()) == (5, 2)
+
+
+def test_a_refused_read_is_no_absent_path(spark):
+    with pytest.raises(Exception):
+        scan_trips(spark, ["nosuchstore://lake/trips.parquet"])
+    with pytest.raises(Exception):
+        existing_paths(spark, ["nosuchstore://lake/trips.parquet"])
+
+
 def test_bronze_air(spark, air_tree):
     rows = bronze_air(scan_measurements(spark, [str(air_tree)], base=str(air_tree)))
     assert set(rows.columns) == {

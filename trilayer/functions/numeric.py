@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Digits kept behind the rounding position before an aggregate is rounded.
-GUARD_DIGITS = 4
-# Whole numbers up to here are exact as doubles.
-EXACT_WHOLE = 2**53
+# Significant digits that summation noise leaves alone: a sum's order changes some 1e-15 of it per step.
+SURE_DIGITS = 15
 
 
 def _half_up(value: str, digits: int) -> str:
     """SQL text of `stable_round`; one expression text costs one driver round trip, its many nodes as Columns dozens."""
-    scale, unit = 10 ** (digits + GUARD_DIGITS), 10**GUARD_DIGITS
-    snapped = f"cast(rint({value} * {scale}D) as bigint)"
-    nearest = f"({snapped} + if({value} < 0, -{unit // 2}, {unit // 2})) div {unit} / {10**digits}D"
-    wide = f"cast(round(try_cast({value} as decimal(38, {digits + GUARD_DIGITS})), {digits}) as double)"
+    size = f"abs({value})"
+    # Decimals that the sure digits reach: the value as a whole number of them, then whole-number rounding.
+    decimals = f"({SURE_DIGITS - 1} - cast(floor(log10({size})) as int))"
+    whole = f"cast(rint({size} * power(10D, {decimals})) as bigint)"
+    unit = f"cast(power(10D, {decimals} - {digits}) as bigint)"
+    nearest = f"signum({value}) * (({whole} + {unit} div 2L) div {unit} / {10**digits}D)"
     return (
-        f"case when abs({value}) < {EXACT_WHOLE}D / {scale}D then {nearest} "
-        f"else coalesce({wide}, round({value}, {digits})) end"
+        f"case when {size} < {0.4 * 10**-digits}D then 0D * {value} "
+        f"when {size} < {10 ** (SURE_DIGITS - 1 - digits)}D then {nearest} else round({value}, {digits}) end"
     )
 
 
@@ -27,12 +27,12 @@ def stable_round(column: str, digits: int) -> Column:
     """Half-up rounding of a double column that does not depend on summation order.
 
     The last bits of a distributed `avg` or `sum` of doubles depend on how rows were spread over tasks, so a plain
-    `round(avg(x), 2)` flips at ties from run to run.  Here the value first snaps to a few more decimals than needed,
-    which removes that noise, and is rounded from there, halves away from zero.
+    `round(avg(x), 2)` flips at ties from run to run.  Here the value counts with its first 15 significant digits, which
+    hold no such noise, and is rounded from there, halves away from zero.  Values whose 15 digits end at or before the
+    position are rounded as they are.
 
-    Snapping is whole-number arithmetic, which stays in generated code; the built-in `round` goes through a big decimal
-    for each value and takes some fifteen times as long.  Values too large for that take a decimal, and beyond it, like
-    NaN and infinities, the plain `round`.
+    It is whole-number arithmetic, which stays in generated code; the built-in `round` goes through a big decimal for
+    each value.
     """
     return F.expr(_half_up(f"`{column}`", digits))
 
@@ -48,7 +48,8 @@ def nan_to_null(column: str) -> Column:
 
 
 def to_float(column: str) -> Column:
-    return F.expr(f"try_cast(`{column}` as double)")
+    """Null for text that is no number, and for NaN."""
+    return F.expr(f"nullif(try_cast(`{column}` as double), double('NaN'))")
 
 
 def to_int(column: str) -> Column:
@@ -57,12 +58,13 @@ def to_int(column: str) -> Column:
 
 
 def safe_corr(x: str, y: str) -> Column:
-    """Pearson correlation over the rows where both are present; null for constants or fewer than two rows.
+    """Pearson correlation over the rows where both are present and no NaN; null for constants or fewer than two rows.
 
     The built-in `corr` raises a division error for constant input under ANSI mode, so it is put together from
     covariance and deviations, all of which merge partial results.
     """
-    px, py = (f"if(`{x}` is null or `{y}` is null, null, cast(`{c}` as double))" for c in (x, y))
+    missing = " or ".join(f"`{c}` is null or isnan(`{c}`)" for c in (x, y))
+    px, py = (f"if({missing}, null, cast(`{c}` as double))" for c in (x, y))
     return F.expr(
         f"if(min({px}) < max({px}) and min({py}) < max({py}), "
         f"try_divide(covar_pop({px}, {py}), stddev_pop({px}) * stddev_pop({py})), null)"

@@ -110,5 +110,5 @@ def comfort_index(temp_c: Column, humidity: Column, wind_ms: Column) -> Column:
 
 
 def any_fall(amount: Column) -> Column:
-    """True for a positive amount, false for none or null."""
-    return F.coalesce(amount > 0, F.lit(False))
+    """True for a positive amount, false for none, null or NaN."""
+    return F.coalesce((amount > 0) & ~F.isnan(amount), F.lit(False))

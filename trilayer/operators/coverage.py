@@ -38,11 +38,12 @@ def sensors(locations: DataFrame) -> DataFrame:
 
 
 def sensor_activity(locations: DataFrame, since: str = "2023-01-01") -> DataFrame:
-    """Sensors per parameter: all, and those of locations seen since a day.  Locations never seen are left out.
+    """Sensors per parameter: all, and those of locations seen since a day.  Locations never seen, or without a time for it, are
+    left out.
 
     ISO texts compare like the times they stand for.
     """
-    seen = sensors(locations.filter(F.col("datetimeLast").isNotNull()))
+    seen = sensors(locations.filter(F.col("datetimeLast.utc").isNotNull()))
     active = F.coalesce(F.col("last_seen"), F.lit("")) >= since
     return seen.groupBy("parameter").agg(
         F.count(F.lit(1)).alias("sensors"),

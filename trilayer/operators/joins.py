@@ -25,6 +25,15 @@ def with_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return fact.join(picked, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
+def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """The dimension, checked as it is read: a key that a second row has raises an error.  Null keys match nothing."""
+    others = [c for c in dim.columns if c != key]
+    rows = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*(F.first(c).alias(c) for c in others), F.count(F.lit(1)).alias("_rows"))
+    message = F.concat(F.lit(f"more than one row of the dimension with {key} = "), F.col(key).cast("string"))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(message).cast(dim.schema[key].dataType)).otherwise(F.col(key))
+    return rows.select(checked.alias(key), *others)
+
+
 # aggregate -> (partial columns, merge)
 _PARTIALS = {
     "sum": (["sum"], lambda p: F.sum(p[0])),
@@ -45,8 +54,8 @@ def star_query(
 
     `dims` lists (dimension, fact key, dimension key), `measures` maps an output name to (aggregate, fact column) with
     sum, count, min, max or avg.  The fact is first aggregated by its own keys, with partial sums in each task, so a
-    key that holds a large share of the rows reaches the join as few rows, and only then joined and merged.  Dimension
-    keys must be unique.
+    key that holds a large share of the rows reaches the join as few rows, and only then joined and merged.  A second
+    row of a dimension key would count the fact twice; it fails the query.
     """
     home = [c for c in by if c in fact.columns]
     keys = list(dict.fromkeys([fact_key for _, fact_key, _ in dims] + home))
@@ -56,7 +65,7 @@ def star_query(
 
     def attach(df: DataFrame, dim: tuple[DataFrame, str, str]) -> DataFrame:
         table, fact_key, dim_key = dim
-        return with_dimension(df, table, fact_key, dim_key, [c for c in by if c in table.columns and c not in home])
+        return with_dimension(df, one_row_per_key(table, dim_key), fact_key, dim_key, [c for c in by if c in table.columns and c not in home])
 
     joined = reduce(attach, dims, small)
     merged = []

@@ -184,10 +184,9 @@ def rule_failures(results: DataFrame) -> DataFrame:
     return results.filter(~F.col("success")).select("rule", "column", "unexpected_count", "unexpected_percent")
 
 
-def null_summary(df: DataFrame, top: int = 20) -> DataFrame:
+def null_summary(df: DataFrame) -> DataFrame:
     """Nulls per column, most first; equal counts by name."""
-    nulls = profile(df).select(F.inline("nulls"))
-    return nulls.orderBy(F.desc("null_count"), F.asc("column")).limit(top)
+    return profile(df).select(F.inline("nulls")).orderBy(F.desc("null_count"), F.asc("column"))
 
 
 def quality_report(
@@ -197,13 +196,13 @@ def quality_report(
     source: str,
     generated_at: datetime,
     first_rows_by: list[str],
-    top: int = 20,
-    first: int = 5,
+    top: int,
+    first: int,
 ) -> DataFrame:
     """The whole report as one row of nested columns, ready for a JSON sink.
 
     Rules, statistics and nulls come from one pass over `df`, quartiles from `numeric_summary`, the first rows from a
-    top-n.  Everything that meets in the row has a size set by the number of columns and rules.
+    top-n.  `top` and `first` bound the listed nulls and rows.  Everything that meets in the row has a size set by the number of columns and rules.
     """
     results, nulls = F.col("results"), F.col("nulls")
     failed = F.filter(results, lambda r: ~r["success"])

@@ -135,6 +135,17 @@ def truncate_utf8(text: Column, limit: int = TEXT_BYTES) -> Column:
     return F.when(F.octet_length(text) <= limit, text).otherwise(F.coalesce(*cuts))
 
 
+def conversion_losses(schema: T.StructType, text_bytes: int | None = None) -> tuple[Column, Column]:
+    """Per row of what `conform` takes: how many values become null, how many texts are cut."""
+    nulled, cut = F.lit(0), F.lit(0)
+    for field in schema:
+        lost = f"`{field.name}` is not null and try_cast(`{field.name}` as {field.dataType.simpleString()}) is null"
+        nulled = nulled + F.expr(f"if({lost}, 1, 0)")
+        if text_bytes is not None and isinstance(field.dataType, T.StringType):
+            cut = cut + F.expr(f"if(octet_length(cast(`{field.name}` as string)) > {text_bytes}, 1, 0)")
+    return nulled, cut
+
+
 def conform(df: DataFrame, schema: T.StructType, text_bytes: int | None = None) -> DataFrame:
     """Pick the columns of `schema` by name, in its order, cast to its types.
 

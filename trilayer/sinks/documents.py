@@ -23,7 +23,18 @@ def report_path(folder: str, name: str, at: datetime) -> str:
 
 
 def save_report(report: DataFrame, folder: str, at: datetime, name: str = "weather_quality_report") -> str:
-    """A one-row report as a time-stamped JSON folder; returns its path."""
+    """A one-row report as one time-stamped JSON file; returns its path.
+
+    Spark writes a folder beside it, whose single part takes the path once it is whole.
+    """
     path = report_path(folder, name, at)
-    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}.parts")
+    jvm = report.sparkSession._jvm
+    parts, target = jvm.org.apache.hadoop.fs.Path(f"{path}.parts"), jvm.org.apache.hadoop.fs.Path(path)
+    files = parts.getFileSystem(report.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    part = next(f.getPath() for f in files.listStatus(parts) if f.getPath().getName().startswith("part-"))
+    files.delete(target, False)
+    if not files.rename(part, target):
+        raise OSError(f"could not rename {part} to {target}")
+    files.delete(parts, True)
     return path

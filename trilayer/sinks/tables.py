@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilayer.schemas import TEXT_BYTES, WAREHOUSE, conform
+from trilayer.schemas import WAREHOUSE, conform, conversion_losses
 
 TABLE_FORMAT = "parquet"
 
@@ -29,12 +29,18 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 def write_table(
     df: DataFrame, name: str, partition_by: list[str] | None = None, fmt: str = TABLE_FORMAT, recreate: bool = False
 ) -> int:
-    """Replace a table and its schema.  With `recreate` the old one is dropped first."""
-    if recreate:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    """Replace a table and its schema.
+
+    With `recreate` the rows first go to a table beside it, which takes the name once it is whole: a failed write leaves
+    the old table as it was, and `df` may read it.
+    """
     keys = partition_by or []
     rows, seen = observed(_balanced(df, keys))
-    rows.write.format(fmt).mode("overwrite").partitionBy(*keys).saveAsTable(name)
+    target = f"{name}__next" if recreate else name
+    rows.write.format(fmt).mode("overwrite").partitionBy(*keys).saveAsTable(target)
+    if recreate:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        df.sparkSession.sql(f"ALTER TABLE {target} RENAME TO {name}")
     return seen.get["rows"]
 
 
@@ -43,21 +49,43 @@ def replace_mapped(df: DataFrame, name: str, mapping: dict[str, str], fmt: str =
     return write_table(df.select(*(F.col(f"`{a}`").alias(b) for a, b in mapping.items())), name, fmt=fmt)
 
 
-def append_table(df: DataFrame, name: str, schema: T.StructType, fmt: str = TABLE_FORMAT) -> int:
-    """Append rows in the target's shape, creating the table if need be.  A second run adds the rows a second time."""
-    rows, seen = observed(conform(df, schema, TEXT_BYTES))
-    rows.write.format(fmt).mode("append").saveAsTable(name)
-    return seen.get["rows"]
+class Written(int):
+    """Rows written, and how many of their values became null or were cut on the way."""
+
+    nulled: int
+    cut: int
+
+    def __new__(cls, rows: int, nulled: int, cut: int) -> Written:
+        written = super().__new__(cls, rows)
+        written.nulled, written.cut = nulled, cut
+        return written
+
+
+def _load(df: DataFrame, name: str, schema: T.StructType, text_bytes: int | None, fmt: str, mode: str) -> Written:
+    nulled, cut = conversion_losses(schema, text_bytes)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(nulled).alias("nulled"), F.sum(cut).alias("cut"))
+    conform(counted, schema, text_bytes).write.format(fmt).mode(mode).saveAsTable(name)
+    return Written(seen.get["rows"], seen.get["nulled"] or 0, seen.get["cut"] or 0)
+
+
+def append_table(df: DataFrame, name: str, schema: T.StructType, text_bytes: int | None = None, fmt: str = TABLE_FORMAT) -> Written:
+    """Append rows in the target's shape, creating the table if need be.  A second run adds the rows a second time.
+
+    Text is cut to `text_bytes` only where that is given (`TEXT_BYTES` is the warehouse's limit); values that were cut or
+    did not fit their type are counted in the result.
+    """
+    return _load(df, name, schema, text_bytes, fmt, "append")
 
 
-def load_table(df: DataFrame, name: str, schema: T.StructType, fmt: str = TABLE_FORMAT) -> int:
+def load_table(df: DataFrame, name: str, schema: T.StructType, text_bytes: int | None = None, fmt: str = TABLE_FORMAT) -> Written:
     """Like `append_table`, but a second run leaves the table as it is: the load replaces the table's content."""
-    return write_table(conform(df, schema, TEXT_BYTES), name, fmt=fmt)
+    return _load(df, name, schema, text_bytes, fmt, "overwrite")
 
 
 def copy_to_warehouse(
-    tables: dict[str, DataFrame], layer: str = "warehouse", append: bool = True, fmt: str = TABLE_FORMAT
-) -> dict[str, int]:
+    tables: dict[str, DataFrame], layer: str = "warehouse", append: bool = True, text_bytes: int | None = None, fmt: str = TABLE_FORMAT
+) -> dict[str, Written]:
     """Load tables named as in the warehouse list; rows written per table."""
     load = append_table if append else load_table
-    return {name: load(df, f"{layer}.{name}", WAREHOUSE[name], fmt=fmt) for name, df in tables.items()}
+    return {name: load(df, f"{layer}.{name}", WAREHOUSE[name], text_bytes, fmt) for name, df in tables.items()}

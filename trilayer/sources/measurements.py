@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import logging
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,34 +25,34 @@ log = logging.getLogger(__name__)
 POLLUTANTS = ["pm25", "no2", "o3", "co", "so2", "no", "nox", "pm10", "pm1"]
 
 # The stations kept.
-STATIONS = {
-    384: "CCNY",
-    625: "Manhattan/IS143",
-    626: "Bronx - IS52",
-    628: "Maspeth",
-    631: "Queens",
-    648: "Bklyn - PS 314",
-    664: "Bklyn - PS274",
-    665: "Bronx - IS74",
-    666: "Pfizer Lab",
-    292229: "Morrisania",
-    1824516: "Bayside, NY",
-    2616564: "7th Ave and W 16th St",
-    2903996: "Win Son",
-    3041962: "Near Bay 50 St",
-    3181018: "Hillcrest, NY",
-    4727343: "E Houston St between Clinton St & Attorney St",
-    4811604: "Caton Ave and Ocean Pkwy, Brooklyn",
-    6091551: "Brooklyn",
-    6166696: "Downtown Manhattan FiDi/Seaport",
-}
+STATIONS = [
+    384,
+    625,
+    626,
+    628,
+    631,
+    648,
+    664,
+    665,
+    666,
+    292229,
+    1824516,
+    2616564,
+    2903996,
+    3041962,
+    3181018,
+    4727343,
+    4811604,
+    6091551,
+    6166696,
+]
 
 _PIECE = 1 << 20
 
 
 def listed_stations(df: DataFrame, key: str = "location_id", stations: list[int] | None = None) -> DataFrame:
     """Rows of the listed stations.  For a list kept in a table use `trilayer.operators.joins.keep_listed`."""
-    return df.filter(F.col(key).isin(list(STATIONS) if stations is None else stations))
+    return df.filter(F.col(key).isin(STATIONS if stations is None else stations))
 
 
 def _header_if_whole(content: bytes) -> str | None:
@@ -67,12 +70,13 @@ def _header_if_whole(content: bytes) -> str | None:
     return header.decode("utf-8-sig").strip() or None
 
 
-def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
-    """Paths of gzip files that are empty, end early or do not inflate.  Files are checked in parallel by the tasks.
+def _columns(header: str) -> list[str]:
+    return [name.strip() for name in next(csv.reader([header]))]
 
-    A whole file with other columns than expected is an error: read by position it would give wrong values, and left
-    out it would be missed.
-    """
+
+def odd_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
+    """path and header of the gzip files that are not simply whole with the expected header.  A null header: the file is
+    empty, ends early or does not inflate.  Files are checked in parallel by the tasks; every byte is read once for it."""
     expected = ",".join(MEASUREMENT_FILE.names)
     files = (
         spark.read.format("binaryFile")
@@ -85,12 +89,30 @@ def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz")
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             headers = [_header_if_whole(content) for content in batch["content"]]
-            for path, header in zip(batch["path"], headers):
-                if header not in (None, expected):
-                    raise ValueError(f"unexpected columns in {path}: {header}")
-            yield batch.loc[[header is None for header in headers], ["path"]]
+            found = pd.DataFrame({"path": batch["path"], "header": pd.Series(headers, index=batch.index, dtype=object)})
+            yield found[[header != expected for header in headers]]
+
+    return files.mapInPandas(check, "path string, header string")
+
 
-    return files.mapInPandas(check, "path string")
+def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
+    """Paths of gzip files that are empty, end early or do not inflate."""
+    return odd_files(spark, paths, glob).filter("header is null").select("path")
+
+
+def _scan(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files whose columns are in this order; a damaged file fails the job."""
+    kinds = {field.name: field.dataType.simpleString() for field in MEASUREMENT_FILE}
+    return (
+        spark.read.schema(", ".join(f"`{name}` {kinds.get(name, 'string')}" for name in names))
+        .option("header", "true")
+        .option("enforceSchema", "false")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv.gz")
+        .option("ignoreCorruptFiles", "false")
+        .csv(paths)
+        .select(*MEASUREMENT_FILE.names, F.col("_metadata.file_path").alias("_path"))
+    )
 
 
 def scan_measurements(
@@ -104,30 +126,33 @@ def scan_measurements(
 
     * An absent path is logged and left out.
     * Path segments `locationid=…/year=…/month=…` do not become columns.
+    * Columns are found by their names in each file's header, which may be quoted or in another order.  A whole file
+      that lacks a column fails the job.
     * With `skip_damaged`, a file that cannot be read to its end is logged and gives no rows at all.  Spark alone would
-      keep the rows before the damage, so a job checks the files first.  The damaged paths come to the driver, which
-      has listed all paths anyway, and leave the scan as a filter on the file path, without a join or an exchange.
-      Without it a damaged file fails the job.
-    * A whole file whose header differs from the schema fails the job rather than shifting columns.
+      keep the rows before the damage, so a job checks the files first.  Only the paths of odd files come to the driver;
+      they leave the scan as a filter on the file path, without a join or an exchange.  The scan itself is strict: a file
+      that is damaged after the check fails the job, as does every damaged one without `skip_damaged`.
     """
     wanted = POLLUTANTS if pollutants is None else pollutants
     paths = existing_paths(spark, paths)
     if not paths:
         raise ValueError("none of the measurement paths exists")
-    rows = (
-        spark.read.schema(MEASUREMENT_FILE)
-        .option("header", "true")
-        .option("enforceSchema", "false")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv.gz")
-        .option("ignoreCorruptFiles", str(skip_damaged).lower())
-        .csv(paths)
-        .filter(F.col("parameter").isin(wanted))
-        .select("*", F.col("_metadata.file_path").alias("_path"))
-    )
-    damaged = [row["path"] for row in damaged_files(spark, paths).collect()] if skip_damaged else []
+    odd = odd_files(spark, paths).collect()
+    damaged = [row["path"] for row in odd if row["header"] is None]
+    if damaged and not skip_damaged:
+        raise ValueError(f"damaged files: {damaged}")
     for path in damaged:
         log.warning("left out %s: cannot be read to its end", path)
-    if damaged:
-        rows = rows.filter(~F.col("_path").isin(damaged))
+    by_columns: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in odd:
+        if row["header"] is not None:
+            by_columns[tuple(_columns(row["header"]))].append(row["path"])
+    for names, members in by_columns.items():
+        if not set(MEASUREMENT_FILE.names) <= set(names):
+            raise ValueError(f"unexpected columns in {members}: {list(names)}")
+    rows = _scan(spark, paths, MEASUREMENT_FILE.names)
+    if odd:
+        rows = rows.filter(~F.col("_path").isin([row["path"] for row in odd]))
+    rows = reduce(DataFrame.unionByName, (_scan(spark, members, list(names)) for names, members in by_columns.items()), rows)
+    rows = rows.filter(F.col("parameter").isin(wanted))
     return rows.withColumn("source_file", relative_path(F.col("_path"), base) if base else F.col("_path")).drop("_path")

@@ -9,12 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trilayer.functions.paths import TRIP_FILE_FORMAT
+from trilayer.sources.existing import is_absent
 
 log = logging.getLogger(__name__)
 
@@ -45,26 +46,45 @@ def union_drifted(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (harmonize(p) for p in parts))
 
 
+#: Signs of a file that is no Parquet, or not a whole one.
+NO_PARQUET = ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_schemas(spark: SparkSession, paths: list[str], threads: int = 16) -> tuple[dict[str, T.StructType], dict[str, str]]:
-    """Schema per readable path and reason per unreadable one.  Reads footers only, several paths at a time."""
+    """Schema per readable file and reason per path or file left out.  Reads footers only, several at a time.
+
+    A path may be a folder: its files are taken one by one, as each may have a schema of its own.  Left out are paths
+    where nothing is and files that are no Parquet; a refused or failed read is raised.
+    """
+
+    def files_of(path: str):
+        try:
+            return spark.read.schema("_ int").parquet(path).inputFiles() or [path], None
+        except PySparkException as problem:
+            if not is_absent(problem):
+                raise
+            return [], (path, str(problem).splitlines()[0])
 
     def probe(path: str):
         try:
             return path, spark.read.parquet(path).schema, None
-        except (AnalysisException, PySparkException, Py4JJavaError) as problem:
+        except (PySparkException, Py4JJavaError) as problem:
+            if not any(sign in str(problem) for sign in NO_PARQUET):
+                raise
             return path, None, str(problem).splitlines()[0]
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        found = list(pool.map(probe, paths))
+        listed = list(pool.map(files_of, paths))
+        found = list(pool.map(probe, [file for files, _ in listed for file in files]))
     schemas = {path: schema for path, schema, _ in found if schema is not None}
-    skipped = {path: reason for path, schema, reason in found if schema is None}
+    skipped = dict(absent for _, absent in listed if absent) | {path: reason for path, schema, reason in found if schema is None}
     return schemas, skipped
 
 
 def scan_trips(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All readable paths as one relation; absent or unreadable ones are logged and left out.
+    """All files of the paths as one relation; what `read_schemas` leaves out is logged.
 
-    Paths with the same schema share one scan, so the plan grows with the number of schemas, not of files.  Each scan
+    Files with the same schema share one scan, so the plan grows with the number of schemas, not of files.  Each scan
     keeps the vectorized reader and its own pushed-down filters.
     """
     schemas, skipped = read_schemas(spark, paths)

@@ -497,6 +497,8 @@ def quality_report_head(spark, sf_dir):
         "weather_hourly_enriched",
         datetime.fromisoformat(FETCHED_AT),
         ["ts", "location_key"],
+        top=20,
+        first=5,
     )
     lists = ["failures", "null_summary", "numeric_summary", "first_rows"]
     return report.select(

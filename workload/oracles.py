@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def r(expression: str, digits: int) -> str:
-    """Half-up rounding by way of a decimal with four guard digits."""
-    return f"cast(round(cast({expression} as decimal(18,{digits + 4})), {digits}) as double)"
+    """Half-up rounding of the decimal that fifteen significant digits, as text, stand for."""
+    return f"cast(round(cast(printf('%.14e', cast({expression} as double)) as decimal(38,18)), {digits}) as double)"
 
 
 PERIOD = "date '2023-01-01' and date '2024-12-31'"
@@ -515,7 +515,7 @@ ORACLES: dict[str, str] = {
     "quality_failures": f"""with {WEATHER}, {WEATHER_RESULTS}
         select rule, "column", unexpected_count, unexpected_percent from results where not success""",
     "trip_quality_rules": f"with {TRIPS}, {TRIP_RESULTS} select * from results",
-    "null_summary": f"""with {WEATHER} select * from ({NULL_ROWS}) order by null_count desc, "column" limit 20""",
+    "null_summary": f"""with {WEATHER} select * from ({NULL_ROWS}) order by null_count desc, "column" """,
     "numeric_summary": f"with {WEATHER} {number_summary('weather', WEATHER_NUMBERS)}",
     "trip_numeric_summary": f"""with {TRIPS}
         {number_summary('trips', ['fare_amount', 'trip_distance', 'passenger_count'])}""",
