@@ -143,7 +143,8 @@ def _with_dropped(docs: DataFrame, dropped: DataFrame) -> tuple[DataFrame, str]:
     name = free_name(docs, "dropped_numbers")
     other = dropped.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_hash").alias(f"{name}_hash"), F.col("numbers").alias(name))
     match = same(docs["doc_id"].cast("long"), other[f"{name}_id"]) & same(text_hash(docs["text"]), other[f"{name}_hash"])
-    return docs.join(other, match, "left").select(*[docs[c] for c in docs.columns], name), name
+    # Lists that grow with the data are not broadcast at any size.
+    return docs.join(other.hint("merge"), match, "left").select(*[docs[c] for c in docs.columns], name), name
 
 
 def without_keys(text: str, numbers: set[int], min_chars: int) -> tuple[str, int]:

@@ -129,21 +129,24 @@ def fit(lines: list[np.ndarray], bad: list[int]) -> LineField:
 def fit_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> LineField:
     """Fit on at most `sample` labelled documents, half of them good and half bad, picked by a hash of their ids among
     those of at most `chars` code points.  Labels other than 0 and 1, and texts without words, are left out."""
-    rated = labels.select(F.col("doc_id").cast("long").alias("rated_id"), F.col("quality").alias("rating")).where("rating in (0, 1)")
+    rated = labels.select(F.col("doc_id").cast("long").alias("rated_id"), F.col("quality").cast("int").alias("rating")).where("rating in (0, 1)")
+    rated = rated.groupBy("rated_id").agg(F.min("rating").alias("rating"))
     rows = id_and_text(docs).where(F.length("text") <= chars)
-    picked = None
+    # Ids meet the labels, texts stay where they are: the picked ids, `sample` at most, go back to the scan as a filter.
+    ids = rows.select("doc_id").join(rated, F.col("doc_id") == F.col("rated_id")).select("doc_id", "rating").distinct()
+    rating_of: dict[int, int] = {}
     for rating in (0, 1):
-        some = rows.join(rated.where(F.col("rating") == rating).dropDuplicates(["rated_id"]), F.col("doc_id") == F.col("rated_id"))
-        some = some.select("doc_id", "text", "rating").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample // 2)
-        picked = some if picked is None else picked.unionByName(some)
+        first = ids.where(F.col("rating") == rating).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
+        rating_of |= {row["doc_id"]: rating for row in first.collect()}
+    picked = rows.where(F.col("doc_id").isin(list(rating_of)))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = [line_features(text)[0].ravel() for text in texts(batch)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lines, pa.list_(pa.float64()))], names=["doc_id", "rating", "lines"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.float64()))], names=["doc_id", "lines"])
 
-    found = arrow_pass(picked.select("doc_id", "text", F.col("rating").cast("int").alias("rating")), convert, "doc_id long, rating int, lines array<double>")
-    found = sorted((r["doc_id"], r["lines"], r["rating"]) for r in found.collect() if r["lines"])
-    return fit([np.array(lines).reshape(-1, len(FEATURES)) for _, lines, _ in found], [1 - rating for *_, rating in found])
+    found = arrow_pass(picked, convert, "doc_id long, lines array<double>").collect() if rating_of else []
+    found = sorted((row["doc_id"], row["lines"]) for row in found if row["lines"])
+    return fit([np.array(lines).reshape(-1, len(FEATURES)) for _, lines in found], [1 - rating_of[doc] for doc, _ in found])
 
 
 def repeated_words(words: list[str], window: int = 3) -> int:

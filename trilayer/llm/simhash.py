@@ -187,4 +187,5 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     )
     name = free_name(docs, "kept")
     kept = first.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_hash").alias(f"{name}_hash"))
-    return docs.join(kept, same(docs["doc_id"].cast("long"), kept[f"{name}_id"]) & (text_hash(docs["text"]) == kept[f"{name}_hash"]), "left_semi")
+    # Ids that grow with the data are not broadcast at any size.
+    return docs.join(kept.hint("merge"), same(docs["doc_id"].cast("long"), kept[f"{name}_id"]) & (text_hash(docs["text"]) == kept[f"{name}_hash"]), "left_semi")
