@@ -6,7 +6,6 @@ import random
 
 import pytest
 
-SF_DIR = "/root/testdata/sf0.001"
 LINE = "This passage stands in many documents and is long enough."
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard int, numbers string, length int, print int"
 

@@ -12,6 +12,7 @@ import pytest
 import regex
 import xxhash
 from compare import TABLES, connect, differences
+from corpus_fixtures import docs, items, nothing, ordered, rows  # noqa: F401
 from tokenizers import Tokenizer
 
 import corpus_pipeline
