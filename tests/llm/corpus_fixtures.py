@@ -24,7 +24,9 @@ def _texts() -> list[str | None]:
     texts += [f"{prose(60)}\n  {LINE.upper() if i % 2 else LINE}\t\n{prose(30)}" for i in range(5)]
     texts += [prose(3) + base[100:420] + prose(80) for _ in range(4)]
     long = prose(9000)
-    texts += [long, f"{long} end", "a" * 3000, "ab " * 700, "1 2 3 " * 60, "THE!! END!! " * 40, "x | y $$$ %%% " * 40]
+    parts = long.split(" ")
+    texts += [" ".join("other" if i % 97 == 5 and i < 97 * n else part for i, part in enumerate(parts)) for n in (4, 8, 12)]
+    texts += [long, "a" * 3000, "ab " * 700, "1 2 3 " * 60, "THE!! END!! " * 40, "x | y $$$ %%% " * 40]
     texts += [f"Licensed under the Apache License, Version 2.{i}. {prose(50)} GNU Genral Public License" for i in range(2)]
     texts += ["mail me: a.b+c@mail.example.org, x@y.z_d@e.f or +1 (555) 010-9999 at 10.0.0.255 or 10.0.0.256, card 4111 1111 1111 1111",
               "Account DE89370400440532013000 and GB82 WEST 1234 5698 7654 32, not XDE89370400440532013000. 4111-1111-1111-1112 001.2.3.4.5",
