@@ -8,6 +8,7 @@ errors.  Base phrases are found as whole consecutive words.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,31 +53,28 @@ class Notice:
         # Whole words only; the best match of a stretch.
         self.pattern = regex.compile(rf"(?b)(?<=\ )(?:{regex.escape(words, literal_spaces=True)}){{e<={edits}}}(?=\ )")
 
-    def find(self, line: str) -> Iterator[tuple[int, int, int]]:
-        """(start, end, edits) in the line of words, without overlaps."""
-        stretches = []
+    def find(self, line: str) -> list[tuple[int, int, int]]:
+        """(start, end, edits) in the line of words.  Of matches that overlap, the one with the fewest edits stays, then the
+        first.  Each seed opens a stretch of bounded length, so the work grows with the seeds, however dense they are."""
+        stretches = set()
         for offset, seed in self.seeds:
             at = line.find(seed)
             while at >= 0:
-                first = at - offset - self.edits - 1
-                stretches.append((max(first, 0), min(first + len(self.words) + 2 * self.edits + 2, len(line))))
+                first = at - offset - self.edits
+                stretches.add((max(first - 1, 0), min(first + len(self.words) + 2 * self.edits + 1, len(line))))
                 at = line.find(seed, at + 1)
-        done = 0
-        for start, end in _joined(stretches):
-            start = max(start, done)
-            while match := self.pattern.search(line, max(start - 1, 0), end + 1):
-                yield match.start(), match.end(), sum(match.fuzzy_counts)
-                start = done = max(match.end(), start + 1)
-
-
-def _joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(stretches):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((start, end))
-    return out
+        found = {(sum(m.fuzzy_counts), *m.span()) for start, end in stretches if (m := self.pattern.search(line, start, end))}
+        return sorted((start, end, edits) for edits, start, end in _apart(sorted(found)))
+
+
+def _apart(found: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Of (edits, start, end), best first, those that overlap no better one."""
+    taken: list[tuple[int, int]] = []
+    for edits, start, end in found:
+        place = bisect_left(taken, (start, end))
+        if (place == 0 or taken[place - 1][1] <= start) and (place == len(taken) or end <= taken[place][0]):
+            taken.insert(place, (start, end))
+            yield edits, start, end
 
 
 NOTICE_SEARCHES = [Notice(*notice) for notice in NOTICES]
