@@ -62,6 +62,9 @@ def arrow_pass(df: DataFrame, convert: Callable[[pa.RecordBatch], pa.RecordBatch
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield convert(batch)
+            # A worker lives on for later stages; what this batch took goes back to the system.
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

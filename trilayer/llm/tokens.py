@@ -17,9 +17,9 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words that a worker keeps at most, in each of two generations.
-MAX_WORDS = 300_000
+MAX_WORDS = 100_000
 #: Bytes of text that are split at a time.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: Texts with this are given to the tokenizer as they are: special tokens are found before any split.
 SPECIAL = "<|"
 #: Classes and cases of these characters differ between libraries; texts with them are split at white space only, and the
