@@ -24,10 +24,10 @@ from trilayer.llm.edit_counts import PRE_TOKEN, CountTree, Edit, edited_token_co
 from trilayer.llm.licenses import BASE, Notice, license_scan, scan
 from trilayer.llm.line_dedup import dedup_lines, line_digest
 from trilayer.llm.oracles import ORACLES
-from trilayer.llm.packing import Packs, pack_documents
+from trilayer.llm.packing import Packs, pack_documents, packing_digest, sequences
 from trilayer.llm.pii import find_personal_data, personal_data_digest
 from trilayer.llm.queries import QUERIES, TOKENIZERS
-from trilayer.llm.sharding import MULTIPLIER, shard_documents
+from trilayer.llm.sharding import MULTIPLIER, shard_digest, shard_documents
 from trilayer.llm.simhash import near_duplicate_digest, one_of_each
 from trilayer.llm.suffix_dedup import without_repeats
 from trilayer.llm.tokens import CachedTokenizer
@@ -127,6 +127,12 @@ def test_shards_follow_the_published_hash(spark, docs, rows):
     assert sorted((r["doc_id"], r["text_crc32"]) for r in result if r["doc_id"] is not None) == sorted((i, zlib.crc32((t or "").encode())) for i, t, *_ in rows if i is not None)
 
 
+def test_shards_hold_the_documents(docs, rows):
+    found = shard_documents(docs)
+    assert Counter(tuple(r["document"]) for r in found.select("document").collect()) == Counter(rows)
+    assert Counter(map(tuple, shard_digest(docs).collect())) == Counter(tuple(r)[:-1] for r in found.collect())
+
+
 # 3 packing
 
 
@@ -153,6 +159,20 @@ def test_pieces_and_packs(docs, rows):
     assert pieces == wanted
 
 
+def test_sequences_hold_the_ids(docs, rows):
+    tokenizer = Tokenizer.from_file(WORD_FILE)
+    packed = pack_documents(docs, WORD_FILE, length=64)
+    found = [(np.frombuffer(r["ids"], "<u4").tolist(), r["pieces"]) for r in sequences(packed).collect()]
+    assert all(len(ids) == sum(p["length"] for p in pieces) <= 64 for ids, pieces in found)
+    got = Counter((p["doc_id"], p["start"], tuple(ids[p["offset"] : p["offset"] + p["length"]])) for ids, pieces in found for p in pieces)
+    wanted = Counter()
+    for i, text, *_ in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        wanted.update((i, at, tuple(ids[at : at + 64])) for at in range(0, len(ids), 64))
+    assert got == wanted
+    assert Counter(map(tuple, packing_digest(docs, WORD_FILE, length=64).collect())) == Counter(tuple(r)[:-1] for r in packed.collect())
+
+
 def test_packs_are_full():
     rng = random.Random(3)
     lengths = Counter(min(2048, max(1, int(rng.lognormvariate(5.5, 1.3)))) for _ in range(50_000))

@@ -32,10 +32,12 @@ def tokenizer_of(path: str) -> CachedTokenizer:
 
 
 def pieces(docs: DataFrame, path: str, length: int) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens: every document's ids and `END_ID`, cut at multiples of `length`."""
+    """doc_id, start, length, ids_crc32, doc_tokens, ids: every document's ids and `END_ID`, cut at multiples of `length`.
+
+    `ids` holds the ids as little-endian unsigned 32-bit numbers, `ids_crc32` is the checksum of these bytes."""
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, start, sizes, sums, totals = [], [], [], [], []
+        row, start, sizes, sums, totals, packed = [], [], [], [], [], []
         for i, ids in enumerate(tokenizer_of(path).of_texts(batch.column(1))):
             ids = np.append(ids, END_ID).astype("<u4")
             for at in range(0, len(ids), length):
@@ -43,12 +45,14 @@ def pieces(docs: DataFrame, path: str, length: int) -> DataFrame:
                 row.append(i)
                 start.append(at)
                 sizes.append(len(piece))
-                sums.append(zlib.crc32(piece.tobytes()))
+                packed.append(piece.tobytes())
+                sums.append(zlib.crc32(packed[-1]))
                 totals.append(len(ids))
         numbers = [pa.array(x, pa.int64()) for x in (start, sizes, sums, totals)]
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *numbers], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        columns = [batch.column(0).take(pa.array(row, pa.int64())), *numbers, pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    return arrow_pass(id_and_text(docs), convert, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return arrow_pass(id_and_text(docs), convert, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
 class Packs:
@@ -109,7 +113,7 @@ class Packs:
 
 
 def pack_documents(docs: DataFrame, path: str, length: int = 2048, cells: int = 256) -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (see `pieces`).
 
     A null or empty text is the single id `END_ID`.  Rows that share an id are packed as documents of their own.  Pieces of
     one length are numbered within cells, whose numbers start where the counts of the cells before end, so no task holds
@@ -128,7 +132,7 @@ def pack_documents(docs: DataFrame, path: str, length: int = 2048, cells: int =
     ranked = (
         all_pieces.join(starts.drop("n"), ["length", "cell"])
         .withColumn("rank", F.col("first_rank") + F.row_number().over(within) - 1)
-        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank")
+        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "ids")
     )
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -139,8 +143,27 @@ def pack_documents(docs: DataFrame, path: str, length: int = 2048, cells: int =
             run = np.searchsorted(table["rank"], ranks[here], side="right") - 1
             sequence[here] = table["sequence"][run] + ranks[here] - table["rank"][run]
             offset[here] = table["offset"][run]
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        return pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=names)
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+        return pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset), batch.column(6)], names=names)
 
-    columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     return arrow_pass(ranked, convert, columns)
+
+
+def packing_digest(docs: DataFrame, path: str, **options) -> DataFrame:
+    """The pieces with a checksum of the ids that they carry in place of these."""
+    columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"]
+    return pack_documents(docs, path, **options).select(*columns)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """Assembles what `pack_documents` placed, a row for each sequence: sequence_id, ids (the pieces' ids one after the
+    other, as in `pieces`) and pieces, an array of (offset, length, doc_id, start) by offset.
+
+    A sequence's pieces hold `length` ids at most, so a group is small whatever the data."""
+    placed = F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "start", "ids")))
+    rows = packed.groupBy("sequence_id").agg(placed.alias("placed"))
+    # Bytes are joined as hexadecimal digits, in one go for all pieces.
+    ids = F.unhex(F.array_join(F.transform("placed", lambda p: F.hex(p["ids"])), ""))
+    parts = F.transform("placed", lambda p: F.struct(p["offset"], p["length"], p["doc_id"], p["start"]))
+    return rows.select("sequence_id", ids.alias("ids"), parts.cast("array<struct<offset:long,length:long,doc_id:long,start:long>>").alias("pieces"))

@@ -11,10 +11,10 @@ from trilayer.llm.decontaminate import find_contamination
 from trilayer.llm.edit_counts import edited_token_counts, planned_edits
 from trilayer.llm.licenses import license_scan
 from trilayer.llm.line_dedup import line_digest
-from trilayer.llm.packing import pack_documents
+from trilayer.llm.packing import packing_digest
 from trilayer.llm.pii import personal_data_digest
 from trilayer.llm.quality import fit_on_labels, quality_digest
-from trilayer.llm.sharding import shard_documents
+from trilayer.llm.sharding import shard_digest
 from trilayer.llm.simhash import near_duplicate_digest
 from trilayer.llm.suffix_dedup import without_repeats
 
@@ -36,11 +36,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_documents(documents(spark, sf_dir))
+    return shard_digest(documents(spark, sf_dir))
 
 
 def op3_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing_digest(documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

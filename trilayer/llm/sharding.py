@@ -53,10 +53,16 @@ def jumps(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, jump)
 
 
+def _text_digest() -> list[Column]:
+    text = F.coalesce(F.col("document.text").cast("string"), F.lit(""))
+    return [(F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, cells: int = 1024) -> DataFrame:
-    """A shard and a place in it for every row of `docs`.
+    """Puts every row of `docs` into a shard and a place in it.
 
-    Columns: doc_id, size (UTF-8 bytes + 8), text_crc32, law (`key`), shard, slot, grown_shard (with one more shard).
+    Columns: doc_id, size (UTF-8 bytes + 8), text_crc32, law (`key`), shard, slot, grown_shard (with one more shard) and
+    document, a struct of all columns of `docs`.
 
     A null text counts as empty, a null id as key 0.  Rows with equal ids share a shard and have slots of their own.
     Slots are gapless from 0 in each shard: rows are numbered within `cells` cells of the shard, a cell's numbers start
@@ -76,14 +82,19 @@ def shard_documents(docs: DataFrame, shards: int = 24, cells: int = 1024) -> Dat
         )
 
     narrow = id_and_text(docs)
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("document"))
     counts = placed(narrow.select("doc_id")).groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = placed(narrow.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")))
+    rows = placed(whole.select("doc_id", *_text_digest(), "document"))
     within = W.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
     return (
         rows.join(starts, ["shard", "cell"])
         .withColumn("slot", F.col("first_slot") + F.row_number().over(within) - 1)
-        .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+        .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "document")
     )
+
+
+def shard_digest(docs: DataFrame, **options) -> DataFrame:
+    """The placed rows with size and checksum of the texts that they carry in place of the documents."""
+    return shard_documents(docs, **options).select("doc_id", *_text_digest(), "law", "shard", "slot", "grown_shard")
