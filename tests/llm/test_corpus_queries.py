@@ -234,6 +234,15 @@ def brute_print(text):
     return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
 
 
+def simhash_roots(prints):
+    """(doc_id, print) to the number of a component, for each row."""
+    root: dict = {}
+    for i, (_, a) in enumerate(prints):
+        near = {root[j] for j in range(i) if (a ^ prints[j][1]).bit_count() <= 3}
+        root |= {j: i for j, r in root.items() if r in near} | {i: i}
+    return [root[i] for i in range(len(prints))]
+
+
 def brute_components(prints):
     """(doc_id, print) to the smallest doc_id reachable."""
     root = list(range(len(prints)))
@@ -292,6 +301,35 @@ def test_one_of_each(docs, rows):
     assert {r["doc_id"] for r in kept.collect()} == set(components)
 
 
+def test_one_row_of_each(spark, docs, rows):
+    """Copies with null ids, near copies with null ids, repeated rows, an id that is the smallest of two components."""
+    base, other = rows[5][1], "quite another text of a few words"
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(300)}" for _ in range(400)]
+    prints = {}
+    for i in range(400):
+        text = " ".join([*words[:i], "changed", *words[i + 1 :]])
+        prints.setdefault((brute_print(text) ^ brute_print(" ".join(words))).bit_count(), text)
+    near = [" ".join(words), *(prints[n] for n in (1, 2, 3) if n in prints)]
+    assert len(near) > 1
+    more = [*[(None, t) for t in near * 3], *[(7, other)] * 4, *[(9000, base)] * 3, *[(None, "null ids only")] * 5, *[(None, None)] * 2]
+    small = [(i, t) for i, t, *_ in rows] + more
+    table = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(small)], "doc_id long, text string, kept_id int").repartition(5)
+    prints = [(i, brute_print(t or "")) for i, t in small]
+    roots = simhash_roots(prints)
+    wanted = Counter()
+    for root in set(roots):
+        ids = [i for (i, _), r in zip(prints, roots) if r == root and i is not None]
+        wanted[min(ids, default=None)] += 1
+    found = one_of_each(table)
+    assert found.columns == table.columns
+    found = found.collect()
+    assert Counter(r["doc_id"] for r in found) == wanted and wanted[7] > 1 and wanted[None] > 1
+    place = {n: root for n, root in enumerate(roots)}
+    assert len({place[r["kept_id"]] for r in found}) == len(found)
+    assert all((r["doc_id"], r["text"]) == small[r["kept_id"]] for r in found)
+
+
 # 6 licenses
 
 

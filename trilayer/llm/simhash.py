@@ -152,7 +152,8 @@ def linked_prints(prints: DataFrame, max_bits: int = 3, block: int = 1024) -> Da
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block: int = 1024) -> DataFrame:
-    """Per row of `docs`: doc_id, text_hash, print, component_id (the smallest doc_id reachable over links).
+    """Per row of `docs`: doc_id, text_hash, print, root (names the component), component_id (the smallest doc_id reachable
+    over links).
 
     Rows with equal prints are one component, also those without words (print zero).  A null text has no words; null ids
     do not name a component unless all its ids are null, then component_id is null.  Rows that share an id count apart.
@@ -163,8 +164,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block:
     roots = connected_components(links)
     joined = prints.join(roots, prints["print"] == roots["node"], "left").select("print", "least_id", F.coalesce("root", "print").alias("root"))
     least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_print = stored(joined.join(least, "root").select("print", "component_id"))
-    return marked.join(of_print, "print").select("doc_id", "text_hash", "print", "component_id")
+    of_print = stored(joined.join(least, "root").select("print", "root", "component_id"))
+    return marked.join(of_print, "print").select("doc_id", "text_hash", "print", "root", "component_id")
 
 
 def near_duplicate_digest(docs: DataFrame, **options) -> DataFrame:
@@ -174,18 +175,18 @@ def near_duplicate_digest(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that stand for their component: those with its smallest doc_id, all columns.
+    """One row of `docs` for each component, one with its smallest doc_id, all columns.
 
-    Of several such rows (repeated ids, or a component of null ids only) the one with the smallest text hash stays; rows
-    equal in id and text stay or go together.
+    Of several such rows (repeated ids, or a component of null ids only) the one with the smallest text hash stays; of rows
+    equal in id and text any one stays, whole.
     """
     found = near_duplicates(docs, **options)
-    first = stored(
-        found.where(same(F.col("doc_id"), F.col("component_id")))
-        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("print")).alias("of_null"))
-        .agg(F.min("text_hash").alias("text_hash"))
-    )
-    name = free_name(docs, "kept")
-    kept = first.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_hash").alias(f"{name}_hash"))
+    first = found.where(same(F.col("doc_id"), F.col("component_id"))).groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    id_name, hash_name = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
+    kept = stored(first.select(F.col("doc_id").alias(f"{id_name}_of"), F.col("text_hash").alias(f"{hash_name}_of")))
+    keyed = docs.withColumns({id_name: docs["doc_id"].cast("long"), hash_name: text_hash(docs["text"])})
     # Ids that grow with the data are not broadcast at any size.
-    return docs.join(kept.hint("merge"), same(docs["doc_id"].cast("long"), kept[f"{name}_id"]) & (text_hash(docs["text"]) == kept[f"{name}_hash"]), "left_semi")
+    equal = same(F.col(id_name), F.col(f"{id_name}_of")) & (F.col(hash_name) == F.col(f"{hash_name}_of"))
+    standing = keyed.join(kept.hint("merge"), equal, "left_semi")
+    # Copies meet as one row from each task.
+    return standing.dropDuplicates([id_name, hash_name]).drop(id_name, hash_name)
