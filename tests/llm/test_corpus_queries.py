@@ -419,6 +419,38 @@ def test_private_added_kinds(docs, rows):
     assert got == [("iban", "DE89370400440532013000"), ("iban", "GB82 WEST 1234 5698 7654 32"), ("identity", "123-45-6789"), ("identity", "123-45-6789")]
 
 
+def test_account_numbers_before_any_text(spark):
+    """Numbers made here, put before and behind texts; where they stand is known."""
+    rng = random.Random(9)
+    texts, wanted = [], {}
+    lengths = {"NO": 15, "BE": 16, "AT": 20, "DE": 22, "ES": 24, "SE": 24, "CZ": 24, "FR": 27, "PL": 28, "HU": 28, "CY": 28, "MT": 31}
+    behind = ["", " A", " Amount", " EUR", " AMOUNT DUE 12", " A1", " eur", ", B", ".", "\nABCD 1234", " BE"]
+    for country, size in lengths.items():
+        for end in behind:
+            body = "".join(rng.choice("0123456789") for _ in range(size - 4))
+            check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+            number = f"{country}{check:02}{body}"
+            for written in (number, " ".join(number[i : i + 4] for i in range(0, size, 4))):
+                if not (size % 4 and written != number and end == " A1"):
+                    text = f"é Pay {written}{end}"
+                    wanted[len(texts)] = [(6, 6 + len(written))]
+                    texts.append(text)
+    pair = "BE68539007547034"
+    wanted[len(texts)] = [(0, 16), (17, 33)]
+    texts.append(f"{pair} {pair}")
+    wanted |= {len(texts): [], len(texts) + 1: []}
+    texts += [f"X{pair} {pair}a", "BE68539007547035 A"]
+    found = find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "iban"] for r in found}
+    assert {texts[i]: got[i] for i in got if got[i] != wanted[i]} == {}
+
+
+def test_context_on_both_sides(spark):
+    texts = ["123-45-6789 is the SSN", "SSN: 123-45-6789", "123-45-6789, social security", "classname 123-45-6789", "123-45-6789" + " x" * 30 + " ssn"]
+    found = find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: len(r["spans"]) for r in found} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0}
+
+
 # 9 repeated passages
 
 
