@@ -20,7 +20,7 @@ from trilayer.llm import quality, simhash, suffix_dedup
 from trilayer.llm.common import documents, plain_words
 from trilayer.llm.components import connected_components
 from trilayer.llm.decontaminate import clean_documents, find_contamination
-from trilayer.llm.edit_counts import PRE_TOKEN, CountTree, Edit, edited_token_counts, planned_edits
+from trilayer.llm.edit_counts import PRE_TOKEN, CountTree, Edit, added_tokens, edited_token_counts, edited_trees, planned_edits, pre_token_counts
 from trilayer.llm.licenses import BASE, Notice, license_scan, scan
 from trilayer.llm.line_dedup import dedup_lines, line_digest
 from trilayer.llm.oracles import ORACLES
@@ -530,6 +530,47 @@ def test_tree_follows_any_edits():
             assert (tree.chars[1 : tree.width] == tree.chars[2::2] + tree.chars[3::2]).all()
 
 
+def test_added_tokens_are_one_token(spark):
+    tokenizer = Tokenizer.from_file(BYTE_FILE)
+    rng = random.Random(10)
+    count, added = pre_token_counts(BYTE_FILE), added_tokens(BYTE_FILE)
+    mark = "<|endoftext|>"
+
+    def n_tokens(text):
+        return len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def some(n):
+        return "".join(rng.choice(["ab", " ", "  ", "\n", "é", "1", "'s", mark, mark, mark[:5], mark[5:], mark[1:], "<", "|>"]) for _ in range(rng.randint(0, n)))
+
+    for _ in range(300):
+        tree = CountTree(some(150), count.__getitem__, added)
+        assert tree.n_tokens == n_tokens(tree.text)
+        for n in range(8):
+            start = rng.randint(0, len(tree.text))
+            tree.apply(Edit(start, start + rng.randint(0, 15), some(2)))
+            assert tree.n_tokens == n_tokens(tree.text)
+            if n == 4:
+                tree = CountTree(tree.text, count.__getitem__, added, tuple(x.tolist() for x in tree.stored_leaves()))
+                assert tree.encoded == 0 and tree.n_tokens == n_tokens(tree.text)
+    texts = [f"end of text {mark} next", f"a  {mark}{mark} b" * 50, None, "plain " * 100]
+    docs = planned_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_tokens"] for r in edited_token_counts(docs, BYTE_FILE).collect()} == {i: n_tokens(t or "") for i, t in enumerate(texts)}
+
+
+def test_a_later_batch_loads_the_trees(spark, docs):
+    tokenizer = Tokenizer.from_file(BYTE_FILE)
+    first = edited_trees(planned_edits(docs), BYTE_FILE).collect()
+    again = [(r["doc_id"], r["text"], [(5, 9, "x <|endoftext|> y")], r["lengths"], r["tokens"]) for r in first]
+    table = spark.createDataFrame(again, "doc_id long, text string, edits array<struct<start:long,end:long,new:string>>, lengths array<int>, tokens array<int>")
+    found = edited_trees(table, BYTE_FILE, loaded=True).collect()
+    assert Counter((r["doc_id"], r["n_tokens_edited"], len(r["lengths"])) for r in first) == Counter((r["doc_id"], r["n_tokens"], r["n_pre_tokens"]) for r in found)
+    texts = Counter((i, t[:5] + "x <|endoftext|> y" + t[9:]) for i, t, *_ in again)
+    assert Counter((r["doc_id"], r["text"]) for r in found) == texts
+    assert all(r["n_tokens_edited"] == sum(r["tokens"]) == len(tokenizer.encode(r["text"], add_special_tokens=False).ids) for r in found)
+    with pytest.raises(ValueError):
+        CountTree("ab", len, None, ([1], [1]))
+
+
 def test_tree_encodes_little_anew():
     tree = CountTree("some words here and " * 5000, len)
     before = tree.encoded

@@ -4,12 +4,16 @@ Merges never cross a pre-token, so a text's count is the sum over its pre-tokens
 their characters and tokens; inner nodes hold sums.  An edit splits and encodes anew from a little before its place on,
 until a new pre-token ends where an old one ended, moved by the edit: from there on all splits are as before.  Then the
 touched leaves are replaced and the sums above them are corrected.
+
+The vocabulary's added tokens are found before any split, are pre-tokens of one token each, and end the text for what
+stands before them.  Leaves can be stored with the text, and a later batch of edits loads them and encodes no text anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,22 @@ def pre_token_counts(path: str) -> Recent:
     return Recent(lambda pre_token: len(model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_ALPHABET))), MAX_COUNTS)
 
 
+@dataclass(frozen=True)
+class Added:
+    """The vocabulary's added tokens: the longest one that starts first is found, `longest` is a number of characters."""
+
+    pattern: regex.Pattern
+    longest: int
+
+
+def added_tokens(path: str) -> Added | None:
+    tokens = Tokenizer.from_file(path).get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or t.single_word for t in tokens):
+        raise ValueError("added tokens that look at what stands beside them are not known here")
+    contents = sorted((t.content for t in tokens), key=len, reverse=True)
+    return Added(regex.compile("|".join(map(regex.escape, contents))), len(contents[0])) if contents else None
+
+
 @dataclass(frozen=True)
 class Edit:
     """Characters start to end of the text as it is when the edit comes are replaced."""
@@ -48,11 +68,17 @@ class Edit:
 
 
 class CountTree:
-    """The tree of one text.  Node 1 is the root, nodes 2i and 2i + 1 are below node i, leaves are the last half."""
+    """The tree of one text.  Node 1 is the root, nodes 2i and 2i + 1 are below node i, leaves are the last half.
+
+    `leaves`, lengths and tokens of the pre-tokens as `stored_leaves` gave them for this text, spare the encoding."""
 
-    def __init__(self, text: str, count: Callable[[str], int]):
-        self.text, self.count, self.encoded = text, count, 0
-        lengths, tokens = self._split(text, 0, None)
+    def __init__(self, text: str, count: Callable[[str], int], added: Added | None = None, leaves: tuple[list[int], list[int]] | None = None):
+        self.text, self.count, self.added, self.encoded = text, count, added, 0
+        # A token that an edit forms or breaks starts so far before it at most, and what stands before it looks at it.
+        self.look_ahead = max(LOOK_AHEAD, added.longest + 1 if added else 0)
+        lengths, tokens = leaves or self._split(text, 0, None)
+        if sum(lengths) != len(text) or len(lengths) != len(tokens):
+            raise ValueError("leaves of another text")
         n_leaves = -(-len(lengths) // LEAF)
         self.width = 1 << max(n_leaves - 1, 0).bit_length()
         #: Lengths of the pre-tokens of each leaf.
@@ -74,19 +100,37 @@ class CountTree:
 
     def _split(self, text: str, at: int, stop: Callable[[int], bool] | None) -> tuple[list[int], list[int]]:
         """Lengths and tokens of the pre-tokens from `at` on, until one's end satisfies `stop`."""
-        if stop is None:
-            found = PRE_TOKEN.findall(text, at)
-            self.encoded += len(found)
-            return list(map(len, found)), list(map(self.count, found))
         lengths, tokens = [], []
-        for match in PRE_TOKEN.finditer(text, at):
-            lengths.append(match.end() - match.start())
-            tokens.append(self.count(match.group()))
-            self.encoded += 1
-            if stop(match.end()):
-                break
+        if stop is None:
+            for start, end, is_token in self._sections(text, at):
+                found = [text[start:end]] if is_token else PRE_TOKEN.findall(text, start, end)
+                self.encoded += len(found)
+                lengths += map(len, found)
+                tokens += [1] if is_token else map(self.count, found)
+            return lengths, tokens
+        for start, end, is_token in self._sections(text, at):
+            for a, b in [(start, end)] if is_token else (m.span() for m in PRE_TOKEN.finditer(text, start, end)):
+                lengths.append(b - a)
+                tokens.append(1 if is_token else self.count(text[a:b]))
+                self.encoded += 1
+                if stop(b):
+                    return lengths, tokens
         return lengths, tokens
 
+    def _sections(self, text: str, at: int) -> Iterator[tuple[int, int, bool]]:
+        """Start and end of added tokens (True) and of what stands between them."""
+        for token in self.added.pattern.finditer(text, at) if self.added else ():
+            if token.start() > at:
+                yield at, token.start(), False
+            yield *token.span(), True
+            at = token.end()
+        if at < len(text):
+            yield at, len(text), False
+
+    def stored_leaves(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and tokens of all pre-tokens."""
+        return tuple(np.fromiter(chain.from_iterable(leaves), dtype="int32") for leaves in (self.leaves, self.leaf_tokens))
+
     def _leaf_at(self, char: int) -> tuple[int, int]:
         """The leaf that holds a character, or the last one, and the characters before the leaf."""
         node, before = 1, 0
@@ -112,9 +156,9 @@ class CountTree:
         shift = len(edit.new) - (end - start)
         text = self.text[:start] + edit.new + self.text[end:]
         # The first pre-token that could have looked at the edited characters.
-        first, before = self._leaf_at(max(start - LOOK_AHEAD, 0))
+        first, before = self._leaf_at(max(start - self.look_ahead, 0))
         kept, at = 0, before
-        while kept < len(self.leaves[first]) and at + self.leaves[first][kept] + LOOK_AHEAD <= start:
+        while kept < len(self.leaves[first]) and at + self.leaves[first][kept] + self.look_ahead <= start:
             at += self.leaves[first][kept]
             kept += 1
         # Ends of old pre-tokens behind the edit, leaf by leaf, as far as needed.
@@ -155,44 +199,55 @@ class CountTree:
         self.text = text
 
 
-_COUNTS: dict[str, Recent] = {}
+_COUNTS: dict[str, tuple[Recent, Added | None]] = {}
 
 
-def _counts(path: str) -> Recent:
+def _counts(path: str) -> tuple[Recent, Added | None]:
     if path not in _COUNTS:
-        _COUNTS[path] = pre_token_counts(path)
+        _COUNTS[path] = pre_token_counts(path), added_tokens(path)
     return _COUNTS[path]
 
 
-def count_edited(text: str, edits: Iterable[Edit], count: Callable[[str], int]) -> tuple[int, int, int, int, CountTree]:
-    """Pre-tokens and tokens before the edits, tokens after them, pre-tokens encoded for the edits, the tree."""
-    tree = CountTree(text, count)
-    n_pre_tokens, before = tree.encoded, tree.n_tokens
-    for edit in edits:
-        tree.apply(edit)
-    return n_pre_tokens, before, tree.n_tokens, tree.encoded - n_pre_tokens, tree
-
-
-def edited_token_counts(docs: DataFrame, path: str) -> DataFrame:
+def edited_trees(docs: DataFrame, path: str, loaded: bool = False) -> DataFrame:
     """`docs` has doc_id, text and edits: array of (start, end, new), applied in turn, places clipped to the text.
 
-    Per row: doc_id, n_pre_tokens, n_tokens, n_tokens_edited, n_encoded (pre-tokens encoded for the edits), n_chars_edited.
+    Per row: doc_id, text (edited), lengths and tokens (the leaves of its tree, of each pre-token), n_pre_tokens, n_tokens
+    (before the edits), n_tokens_edited, n_encoded (pre-tokens encoded for the edits), n_chars_edited.  For a later batch of
+    edits, store text, lengths and tokens, join the edits and pass `loaded`: then trees are made of them, and a text is
+    encoded only where its leaves are null.
+
     A null text is empty; null edits, null places and null replacements count as none, 0 and empty.  Rows that repeat are
     counted one by one.
     """
+    numbers = ["n_pre_tokens", "n_tokens", "n_tokens_edited", "n_encoded", "n_chars_edited"]
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count = _counts(path).__getitem__
-        rows = []
-        for text, edits in zip(batch.column(1), batch.column(2)):
-            wanted = [Edit(e["start"] or 0, e["end"] or 0, e["new"] or "") for e in edits.as_py() or () if e]
-            *numbers, tree = count_edited(text.as_py() or "", wanted, count)
-            rows.append((*numbers, len(tree.text)))
-        names = ["n_pre_tokens", "n_tokens", "n_tokens_edited", "n_encoded", "n_chars_edited"]
-        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]], names=["doc_id", *names])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("edits").cast("array<struct<start:long,end:long,new:string>>").alias("edits"))
-    return arrow_pass(rows, convert, "doc_id long, n_pre_tokens long, n_tokens long, n_tokens_edited long, n_encoded long, n_chars_edited long")
+        count, added = _counts(path)
+        rows, edited, lengths, tokens = [], [], [], []
+        for i, (text, edits) in enumerate(zip(batch.column(1), batch.column(2))):
+            leaves = tuple(batch.column(c)[i].as_py() for c in (3, 4)) if loaded else None
+            tree = CountTree(text.as_py() or "", count.__getitem__, added, leaves if leaves and None not in leaves else None)
+            n_pre_tokens, before, encoded = sum(map(len, tree.leaves)), tree.n_tokens, tree.encoded
+            for e in edits.as_py() or ():
+                if e:
+                    tree.apply(Edit(e["start"] or 0, e["end"] or 0, e["new"] or ""))
+            rows.append((n_pre_tokens, before, tree.n_tokens, tree.encoded - encoded, len(tree.text)))
+            edited.append(tree.text)
+            for column, leaf in zip((lengths, tokens), tree.stored_leaves()):
+                column.append(leaf)
+        columns = [pa.array(edited, batch.column(1).type), pa.array(lengths, pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32()))]
+        columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(numbers))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "text", "lengths", "tokens", *numbers])
+
+    wanted = {"doc_id": "long", "text": "string", "edits": "array<struct<start:long,end:long,new:string>>"}
+    wanted |= {"lengths": "array<int>", "tokens": "array<int>"} if loaded else {}
+    rows = docs.select(*[F.col(name).cast(kind).alias(name) for name, kind in wanted.items()])
+    return arrow_pass(rows, convert, "doc_id long, text string, lengths array<int>, tokens array<int>, " + ", ".join(f"{n} long" for n in numbers))
+
+
+def edited_token_counts(docs: DataFrame, path: str) -> DataFrame:
+    """The numbers of `edited_trees` without texts and trees."""
+    return edited_trees(docs, path).drop("text", "lengths", "tokens")
 
 
 def planned_edits(docs: DataFrame) -> DataFrame:
