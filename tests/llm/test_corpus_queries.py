@@ -103,6 +103,14 @@ def test_field_without_labels_of_both_kinds(spark, docs):
         assert quality.fit_on_labels(docs, spark.createDataFrame(labels, "doc_id long, quality int")) is quality.UNTRAINED
 
 
+def test_field_is_fitted_on_a_row_for_each_id(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda lines, ratings: fitted.append((len(lines), sorted(ratings))))
+    docs = spark.createDataFrame([(i if i < 6 else 1, f"some words and the number {i}\nanother line") for i in range(200)], "doc_id long, text string").repartition(4)
+    quality.fit_on_labels(docs, spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int"))
+    assert fitted == [(6, [0, 0, 0, 1, 1, 1])]
+
+
 # 2 shards
 
 

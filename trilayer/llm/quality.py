@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import arrow_pass, id_and_text, texts
+from trilayer.llm.common import arrow_pass, id_and_text, text_hash, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -128,7 +128,7 @@ def fit(lines: list[np.ndarray], bad: list[int]) -> LineField:
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> LineField:
     """Fit on at most `sample` labelled documents, half of them good and half bad, picked by a hash of their ids among
-    those of at most `chars` code points.  Labels other than 0 and 1, and texts without words, are left out."""
+    those of at most `chars` code points.  Of rows that share an id the one with the smallest text hash counts.  Labels other than 0 and 1, and texts without words, are left out."""
     rated = labels.select(F.col("doc_id").cast("long").alias("rated_id"), F.col("quality").cast("int").alias("rating")).where("rating in (0, 1)")
     rated = rated.groupBy("rated_id").agg(F.min("rating").alias("rating"))
     rows = id_and_text(docs).where(F.length("text") <= chars)
@@ -138,7 +138,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUM
     for rating in (0, 1):
         first = ids.where(F.col("rating") == rating).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
         rating_of |= {row["doc_id"]: rating for row in first.collect()}
-    picked = rows.where(F.col("doc_id").isin(list(rating_of)))
+    picked = rows.where(F.col("doc_id").isin(list(rating_of))).groupBy("doc_id").agg(F.min_by("text", text_hash(F.col("text"))).alias("text"))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = [line_features(text)[0].ravel() for text in texts(batch)]
