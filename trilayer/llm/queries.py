@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from trilayer.llm.common import documents
 from trilayer.llm.decontaminate import find_contamination
 from trilayer.llm.edit_counts import edited_token_counts, planned_edits
+from trilayer.llm.katz import score_digest
 from trilayer.llm.licenses import license_scan
 from trilayer.llm.line_dedup import line_digest
 from trilayer.llm.packing import packing_digest
 from trilayer.llm.pii import personal_data_digest
+from trilayer.llm.prefix_trie import conversation_trie
 from trilayer.llm.quality import fit_on_labels, quality_digest
 from trilayer.llm.sharding import shard_digest
 from trilayer.llm.simhash import near_duplicate_digest
 from trilayer.llm.suffix_dedup import without_repeats
+from trilayer.llm.whitening import whitening_digest
 
 #: Folder of the vocabulary files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -71,10 +74,22 @@ def op10_edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_token_counts(planned_edits(documents(spark, sf_dir)), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_jump_shards, op3_histogram_packing, op4_line_dedup, op5_simhash, op6_license_scan, op7_decontamination,
-        op8_personal_data, op9_repeated_passages, op10_edited_counts,
+        op8_personal_data, op9_repeated_passages, op10_edited_counts, op11_prefix_trie, op12_whitening, op13_katz_scores,
     )
 }
