@@ -102,8 +102,9 @@ def classes_of(convs: DataFrame, windows: DataFrame) -> DataFrame:
         up = F.expr(f"at div {WINDOW}").alias("at")
         marks = marks.groupBy("conv_id", up).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.struct("at", "mark")))["mark"], "").cast("binary"), 256).alias("mark"))
         last //= WINDOW
-    marked = convs.join(marks.select("conv_id", "mark"), "conv_id", "left").withColumn("mark", F.coalesce("mark", F.lit("")))
-    reps = marked.groupBy("mark").agg(F.min("conv_id").alias("rep"))
+    # Stored first: so both sides of the last join have plain exchanges, and a class with many members is split.
+    marked = stored(convs.join(marks.select("conv_id", "mark"), "conv_id", "left").withColumn("mark", F.coalesce("mark", F.lit(""))))
+    reps = stored(marked.groupBy("mark").agg(F.min("conv_id").alias("rep")))
     return stored(marked.join(reps, "mark").select("conv_id", "length", "rep"))
 
 
