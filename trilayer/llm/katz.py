@@ -5,8 +5,9 @@ the unseen words of the context, in proportion to their unigram probability and
 of the corpus takes what the unigram discounts leave.  Probabilities are evaluated from the bigram down: bigram, else backoff
 weight times unigram, else the unknown word.
 
-1. Words are counted and stored as a table, exact, by the word itself.  A 64-bit key of a word is used from then on; that
-   no two words share one is checked, and another salt is taken where two do.
+1. Words are counted and stored as a table, exact, by the word itself.  From then on a word has a key: its rank, if it is one
+   of the `FREQUENT` most frequent, else a hash as short as the number of words allows; that no two words share one is
+   checked, and another salt is taken where two do.
 2. Documents are tokenised in blocks.  A block's bigrams, with the documents that hold them, go to buckets by
    context, packed in one row for each block and bucket, into a table bucketed by that number.  A context that
    makes 1/`HOT_SHARE` or more of all training tokens is spread over all buckets; there are at most `HOT_SHARE` of these and the start.
@@ -21,9 +22,10 @@ repeated rows are counted and scored one by one.  Without training rows every wo
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +45,13 @@ LEAST_LEFT = 0.5
 #: A spread context has this part of all training tokens at least.
 HOT_SHARE = 1024
 #: Training tokens for each bucket, bytes of text and documents in a block.
-BUCKET_TOKENS, BLOCK_BYTES, BLOCK_DOCS = 4_000_000, 12 << 20, 1 << 20
+BUCKET_TOKENS, BLOCK_BYTES, BLOCK_DOCS = 4_000_000, 6 << 20, 1 << 20
+#: An odd number without a short pattern.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Words with a rank for a key.
+FREQUENT = 1 << 17
+#: Files that tasks may write straight into the buckets; where it would be more, rows are dealt by bucket first.
+MAX_FILES = 20_000
 PACKED = "bucket int, block long, sizes array<int>, raw long, packed binary, ids array<long>, held array<boolean>, tokens array<long>"
 
 
@@ -116,7 +124,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 else:
                     trained.update(words)
                     trained[END] += 1
-            found = [*trained, *(other - trained.keys())]
+            # The start has a key too, and is no word.
+            found = [*trained, *(other - trained.keys()), START]
             columns = [pa.array(found, pa.binary()).cast(pa.string()), pa.array([trained[w] for w in found], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "n"])
             pa.default_memory_pool().release_unused()
@@ -124,8 +133,32 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _key(salt: str, word: Column) -> Column:
-    return F.xxhash64(F.concat(F.lit(salt), word))
+@dataclass(frozen=True)
+class Keys:
+    """Keys of words: the rank of a frequent word, else the low bits of a salted hash below a bit that no rank has."""
+
+    salt: str
+    bits: int
+    ranks: dict[bytes, int]
+
+    def of(self, words: Iterable[bytes]) -> np.ndarray:
+        salt, mask, mark, ranks = self.salt.encode(), (1 << self.bits) - 1, 1 << self.bits, self.ranks
+        return np.array([ranks[w] if w in ranks else xxhash.xxh64_intdigest(salt + w, 42) & mask | mark for w in words], "u8")
+
+    @staticmethod
+    def apart(words: DataFrame) -> tuple[Keys, DataFrame]:
+        """Keys that tell all of `words` (word, n) apart, and the words with their `key`.  At most `FREQUENT` words, the most
+        frequent ones, pass the driver."""
+        often = words.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()
+        ranks = {r["word"]: i for i, r in enumerate(often)}
+        ranked = words.sparkSession.createDataFrame(list(ranks.items()), "word string, rank long")
+        ranked = stored(words.join(ranked, "word", "left"))
+        bits = min(62, 8 * math.ceil((2 * math.log2(max(words.count(), 2)) + 4) / 8))
+        for salt in map(str, itertools.count()):
+            hashed = F.xxhash64(F.concat(F.lit(salt), F.col("word"))).bitwiseAND(F.lit((1 << bits) - 1)).bitwiseOR(F.lit(1 << bits))
+            keyed = ranked.select("word", "n", F.coalesce("rank", hashed).alias("key"))
+            if not keyed.where("rank is null").groupBy("key").count().where("count > 1").limit(1).count():
+                return Keys(salt, bits, {w.encode(): i for w, i in ranks.items()}), keyed
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -134,8 +167,10 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 def pack(arrays: list[np.ndarray]) -> tuple[list[int], int, bytes]:
-    """Arrays, the first of unsigned 64-bit and the others of 32-bit numbers, as lengths, bytes, and compressed bytes."""
-    raw = b"".join(map(_planes, arrays))
+    """Arrays, the first of unsigned 64-bit and the others of 32-bit numbers, as lengths, bytes, and compressed bytes.  The first
+    two rise, so their steps are kept."""
+    steps = [np.diff(a, prepend=a.dtype.type(0)) if i < 2 else a for i, a in enumerate(arrays)]
+    raw = b"".join(map(_planes, steps))
     return [len(a) for a in arrays], len(raw), pa.compress(raw, "zstd", asbytes=True)
 
 
@@ -144,7 +179,8 @@ def unpack(sizes: list[int], raw: int, packed: bytes) -> list[np.ndarray]:
     for i, size in enumerate(sizes):
         width = 4 if i else 8
         planes = data[at : at + size * width].reshape(width, size)
-        arrays.append(np.ascontiguousarray(planes.T).view("u4" if i else "u8").ravel())
+        values = np.ascontiguousarray(planes.T).view("u4" if i else "u8").ravel()
+        arrays.append(np.cumsum(values, dtype=values.dtype) if i < 2 else values)
         at += size * width
     return arrays
 
@@ -155,27 +191,34 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def block_rows(held: list[str], out: list[bool], salt: bytes, hot: np.ndarray, buckets: int) -> Iterator[tuple[int, list[int], int, bytes]]:
+def block_rows(held: list[str], out: list[bool], word_keys: Keys, hot: np.ndarray, buckets: int) -> Iterator[tuple[int, list[int], int, bytes]]:
     """For each bucket with a bigram of these texts: its number and, packed, the keys of its words, both words of each bigram
     as places among these, the number of its documents, these documents, the times it occurs in each, and the training documents
     of the block as 0 or 1."""
     index: defaultdict[bytes, int] = defaultdict()
     index.default_factory = index.__len__
-    lengths, flat = np.empty(len(held), "i8"), []
+    lengths, flat = np.empty(len(held), "i4"), []
     for i, text in enumerate(held):
         words = words_of(text)
         lengths[i] = len(words) + 1
-        flat.append(np.fromiter(map(index.__getitem__, itertools.chain((START,), words, (END,))), "i8", len(words) + 2))
-    at = np.concatenate(flat)
-    keys = np.array([xxhash.xxh64_intdigest(salt + w, 42) for w in index], "u8")
+        flat.append(np.fromiter(map(index.__getitem__, itertools.chain((START,), words, (END,))), "i4", len(words) + 2))
+    # Numbered by key, so that sorted bigrams are sorted by the keys of their words.
+    keys = word_keys.of(index)
+    by_key = np.argsort(keys)
+    rank = np.empty(len(keys), "i4")
+    rank[by_key] = np.arange(len(keys), dtype="i4")
+    keys, at = keys[by_key], rank[np.concatenate(flat)]
     n_words = len(keys)
+    del index, flat, rank, by_key
     first = np.ones(len(at), bool)
     first[np.cumsum(lengths + 1) - 1] = False
     left = np.flatnonzero(first)
-    pair = at[left] * n_words + at[left + 1]
-    doc = np.repeat(np.arange(len(held)), lengths)
+    pair = at[left] * np.int64(n_words) + at[left + 1]
+    doc = np.repeat(np.arange(len(held), dtype="i4"), lengths)
+    del at, left, first
     order = np.argsort(pair, kind="stable")
     pair, doc = pair[order], doc[order]
+    del order
     new_pair = np.concatenate([[True], pair[1:] != pair[:-1]])
     entry = np.flatnonzero(new_pair | np.concatenate([[True], doc[1:] != doc[:-1]]))
     times, doc = np.diff(np.append(entry, len(pair))), doc[entry]
@@ -183,7 +226,8 @@ def block_rows(held: list[str], out: list[bool], salt: bytes, hot: np.ndarray, b
     in_docs = np.diff(np.append(head, len(entry)))
     one, two = np.divmod(pair[entry[head]], n_words)
     spread = np.isin(keys, hot)[one]
-    bucket = ((keys[one] + np.where(spread, keys[two], np.uint64(0))) % np.uint64(buckets)).astype("i8")
+    # Ranks lie close together, so the sum is spread by a multiplication first.
+    bucket = (((keys[one] + np.where(spread, keys[two], np.uint64(0))) * SPREAD >> np.uint64(32)) % np.uint64(buckets)).astype("i8")
     by_bucket = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     trained = np.array([not o for o in out], "u4")
@@ -195,7 +239,7 @@ def block_rows(held: list[str], out: list[bool], salt: bytes, hot: np.ndarray, b
             yield b, *pack([keys[used], *(a.astype("u4") for a in (place[: len(mine)], place[len(mine) :], in_docs[mine], doc[entries], times[entries])), trained])
 
 
-def packed_bigrams(rows: DataFrame, salt: str, hot: list[int], buckets: int) -> DataFrame:
+def packed_bigrams(rows: DataFrame, word_keys: Keys, hot: list[int], buckets: int) -> DataFrame:
     """The bucketed table of bigrams, with a row for each block and bucket.  Rows with a negative bucket have the
     documents of a block instead: ids, held out or not, tokens."""
     hot_keys = np.array(hot, "i8").view("u8")
@@ -209,14 +253,16 @@ def packed_bigrams(rows: DataFrame, salt: str, hot: list[int], buckets: int) ->
             # A block's first row number: blocks of a task and rows of a block have 20 bits each.
             block, out = (task << 40) | (number << 20), batch.column(2).to_pylist()
             tokens = [len(words_of(t)) + 1 for t in held]
-            found = [(b, block, sizes, raw, packed, None, None, None) for b, sizes, raw, packed in block_rows(held, out, salt.encode(), hot_keys, buckets)]
+            found = [(b, block, sizes, raw, packed, None, None, None) for b, sizes, raw, packed in block_rows(held, out, word_keys, hot_keys, buckets)]
             found.append((-1 - (task + number) % buckets, block, None, None, None, batch.column(0).to_pylist(), out, tokens))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
             pa.default_memory_pool().release_unused()
 
     spark = rows.sparkSession
     name, folder = f"bigrams_{uuid.uuid4().hex}", shared_folder(spark)
-    packed = rows.mapInArrow(run, PACKED).repartition(buckets, "bucket")
+    packed = rows.mapInArrow(run, PACKED)
+    if rows.rdd.getNumPartitions() * buckets > MAX_FILES:
+        packed = packed.repartition(buckets, "bucket")
     packed.write.bucketBy(buckets, "bucket").option("path", folder).format("parquet").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"drop table {name}")
@@ -224,25 +270,35 @@ def packed_bigrams(rows: DataFrame, salt: str, hot: list[int], buckets: int) ->
 
 
 class Bucket:
-    """The bigrams of a bucket, merged: `words` keys, `pairs` as first * len(words) + second, `counts` in training rows."""
+    """The bigrams of a bucket, merged: `words` keys, `one` and `two` places among these, `counts` in training rows."""
 
     def __init__(self, rows: pa.Table):
         blocks = [(r["block"], *unpack(r["sizes"], r["raw"], r["packed"])) for r in rows.select(["block", "sizes", "raw", "packed"]).to_pylist()]
         self.words = np.unique(np.concatenate([b[1] for b in blocks]))
         n = len(self.words)
         keys, counts = [], []
-        for _, words, one, two, in_docs, doc, times, trained in blocks:
+        #: Of each block: its number, documents per bigram, documents, times, number of documents.
+        self.blocks = []
+        while blocks:
+            block, words, one, two, in_docs, doc, times, trained = blocks.pop()
             place = np.searchsorted(self.words, words)
             keys.append(place[one] * n + place[two])
-            starts = np.cumsum(in_docs, dtype="i8") - in_docs
-            counts.append(np.add.reduceat(times.astype("i8") * trained[doc], starts))
-        self.pairs, self.inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        self.counts = np.bincount(self.inverse, np.concatenate(counts), len(self.pairs)).astype("i8")
-        self.one, self.two = np.divmod(self.pairs, n)
+            counts.append(np.add.reduceat(times.astype("i8") * trained[doc], np.cumsum(in_docs, dtype="i8") - in_docs))
+            self.blocks.append((block, in_docs, doc, times, len(trained)))
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        #: The bigram of each block's bigrams.
+        self.inverse = np.empty(len(keys), "i4")
+        self.inverse[order] = np.cumsum(new, dtype="i4") - np.int32(1)
+        del order
+        self.counts = np.bincount(self.inverse, np.concatenate(counts)).astype("i8")
+        self.one, self.two = (p.astype("i4") for p in np.divmod(keys[new], n))
+        del keys, new, counts
         #: Places where a context's bigrams start, and the context of each bigram.
         self.starts = np.flatnonzero(np.concatenate([[True], self.one[1:] != self.one[:-1]]))
-        self.context = np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.pairs))))
-        self.blocks = [(b[0], b[4], b[5], b[6], len(b[7])) for b in blocks]
+        self.context = np.repeat(np.arange(len(self.starts), dtype="i4"), np.diff(np.append(self.starts, len(self.one))))
 
     def by_context(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts)
@@ -333,18 +389,17 @@ def katz_scores(rows: DataFrame, hot_share: int = HOT_SHARE, bucket_tokens: int
     spark = rows.sparkSession
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out")
     words = stored(word_counts(rows))
-    salt = next(s for s in map(str, itertools.count()) if not words.groupBy(_key(s, F.col("word"))).count().where("count > 1").limit(1).count())
-    keyed = words.where("n > 0").select(_key(salt, F.col("word")).alias("key"), "n", "word")
+    word_keys, keyed = Keys.apart(words)
+    keyed = keyed.where("n > 0")
     few = [F.count_if(F.col("n") == r) for r in range(1, KATZ + 2)]
     n_tokens, n_types, ends, *counts = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("word") == "", F.col("n"))), F.lit(0)), *few).first()
     unigrams = Unigrams.of(n_tokens, n_types, counts)
 
     # Contexts with a share of 1 / hot_share of all tokens: at most hot_share.  The start of a text is always one.
     often = keyed.where((F.col("n") * hot_share >= n_tokens) & (F.col("word") != "")).select("key").collect()
-    start = int(np.uint64(xxhash.xxh64_intdigest(salt.encode() + START, 42)).view("i8"))
-    hot = np.unique(np.array([start, *(r["key"] for r in often)], "i8").view("u8"))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // bucket_tokens))
-    packed = packed_bigrams(rows, salt, hot.view("i8").tolist(), buckets)
+    hot = np.unique(np.concatenate([word_keys.of([START]), np.array([r["key"] for r in often], "i8").view("u8")]))
+    buckets = max(spark.sparkContext.defaultParallelism, -(-n_tokens // bucket_tokens))
+    packed = packed_bigrams(rows, word_keys, hot.view("i8").tolist(), buckets)
 
     merged = stored(bucket_counts(packed, hot))
     ratios = discounts(list(merged.agg(*(F.coalesce(F.sum(F.get("counts", F.lit(r))), F.lit(0)) for r in range(KATZ + 1))).first()))
