@@ -45,11 +45,11 @@ LEAST_LEFT = 0.5
 #: A spread context has this part of all training tokens at least.
 HOT_SHARE = 1024
 #: Training tokens for each bucket, bytes of text and documents in a block.
-BUCKET_TOKENS, BLOCK_BYTES, BLOCK_DOCS = 4_000_000, 6 << 20, 1 << 20
+BUCKET_TOKENS, BLOCK_BYTES, BLOCK_DOCS = 2_500_000, 3 << 20, 1 << 20
 #: An odd number without a short pattern.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Words with a rank for a key.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 15
 #: Files that tasks may write straight into the buckets; where it would be more, rows are dealt by bucket first.
 MAX_FILES = 20_000
 PACKED = "bucket int, block long, sizes array<int>, raw long, packed binary, ids array<long>, held array<boolean>, tokens array<long>"
