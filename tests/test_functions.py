@@ -172,3 +172,31 @@ def test_paths(spark):
         key,
         "Taxi/Yellow/2024/yellow_tripdata_2024-03.parquet",
     ]
+
+
+@pytest.mark.parametrize("n", [20_000, 2_000_000])
+def test_exact_mean_at_a_tie_for_any_partitions(spark, n):
+    cents = F.when(F.col("id") < n // 2, 1012 - F.col("id") % 700).otherwise(1013 + (F.col("id") - n // 2) % 700)
+    rows = spark.range(n).select((cents / 100.0).alias("x"))
+    for parts in (1, 2, 3, 5, 8):
+        found = rows.repartition(parts, F.xxhash64("x", F.rand(parts))).agg(numeric.exact_mean("x").alias("mean"), numeric.exact_sum("x").alias("sum"))
+        assert numeric.round_columns(found, ["mean"], 2).first() == (10.13, n * 10.125)
+
+
+def test_exact_sum_of_odd_values(spark):
+    def both(values):
+        return tuple(column(spark, values).agg(numeric.exact_sum("x"), numeric.exact_mean("x")).first())
+
+    assert both([]) == both([None]) == (None, None)
+    assert both([0.1] * 10 + [None]) == (1.0, 0.1)
+    assert both([1e13, 1.5, -1e13]) == (1.5, 0.5)
+    assert both([math.inf, 1.0]) == (math.inf, math.inf)
+    assert all(math.isnan(x) for x in both([math.nan, 1.0]))
+    assert both([1e-9, -1e-9, 3e-9]) == (3e-9, 1e-9)
+
+
+@batches
+@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=300))
+def test_exact_sum_equals_fsum(spark, values):
+    found = column(spark, values).agg(numeric.exact_sum("x")).first()[0]
+    assert found == pytest.approx(math.fsum(values), rel=1e-12, abs=1e-9)

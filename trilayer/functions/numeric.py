@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Significant digits that summation noise leaves alone: a sum's order changes some 1e-15 of it per step.
+# Significant digits of a double that hold no error of one or two roundings.
 SURE_DIGITS = 15
 
+# Units that sums are counted in, the size from which a value is not counted but added as it is.
+MICRO, FINE, ODD = "1e6D", "1e15D", "1e12D"
+
 
 def _half_up(value: str, digits: int) -> str:
     """SQL text of `stable_round`; one expression text costs one driver round trip, its many nodes as Columns dozens."""
@@ -24,12 +27,11 @@ def _half_up(value: str, digits: int) -> str:
 
 
 def stable_round(column: str, digits: int) -> Column:
-    """Half-up rounding of a double column that does not depend on summation order.
+    """Half-up rounding of a double by its first 15 significant digits, halves away from zero.
 
-    The last bits of a distributed `avg` or `sum` of doubles depend on how rows were spread over tasks, so a plain
-    `round(avg(x), 2)` flips at ties from run to run.  Here the value counts with its first 15 significant digits, which
-    hold no such noise, and is rounded from there, halves away from zero.  Values whose 15 digits end at or before the
-    position are rounded as they are.
+    A double that stands for a decimal, off by a rounding or two, is rounded as that decimal.  It does not mend a sum of
+    doubles whose order varies: its noise grows with the rows, so sum with `exact_sum` or `exact_mean` first.  Values
+    whose 15 digits end at or before the position are rounded as they are.
 
     It is whole-number arithmetic, which stays in generated code; the built-in `round` goes through a big decimal for
     each value.
@@ -37,6 +39,40 @@ def stable_round(column: str, digits: int) -> Column:
     return F.expr(_half_up(f"`{column}`", digits))
 
 
+def exact_parts(value: str) -> dict[str, str]:
+    """SQL text of the aggregates that an exact sum of a double expression consists of; each merges by plain sums.
+
+    A double is taken as a whole number of millionths, which it is if it stands for a decimal of up to six places, and the
+    rest as a whole number of 1e-15.  Both are added as decimals, so neither the order of the rows nor the way they are
+    spread over tasks can change the sum.  Values from 1e12 on, infinities and NaN are added as doubles.
+    """
+    micro = f"rint(({value}) * {MICRO})"
+    counted = f"abs({value}) < {ODD}"
+    return {
+        "micro": f"sum(if({counted}, cast(cast({micro} as bigint) as decimal(19,0)), null))",
+        "fine": f"sum(if({counted}, cast(cast(rint((({value}) - {micro} / {MICRO}) * {FINE}) as bigint) as decimal(19,0)), null))",
+        "odd": f"sum(if({counted}, null, {value}))",
+        "count": f"count({value})",
+    }
+
+
+def exact_total(parts: dict[str, str]) -> str:
+    """SQL text of the sum as a double, from the (merged) aggregates; null without rows."""
+    counted = f"cast(cast({parts['micro']} * 1000000000BD + {parts['fine']} as decimal(38,0)) as double) / {FINE}"
+    return f"if({parts['count']} = 0, null, coalesce({counted}, 0D) + coalesce({parts['odd']}, 0D))"
+
+
+def exact_sum(value: str) -> Column:
+    """Sum of a double expression that is the same however its rows are spread."""
+    return F.expr(exact_total(exact_parts(value)))
+
+
+def exact_mean(value: str) -> Column:
+    """Mean of a double expression that is the same however its rows are spread."""
+    parts = exact_parts(value)
+    return F.expr(f"try_divide({exact_total(parts)}, cast({parts['count']} as double))")
+
+
 def round_columns(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
     """The same columns with some rounded by `stable_round`."""
     return df.withColumns({c: stable_round(c, digits) for c in columns})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import hour_bin
-from trilayer.functions.numeric import round_columns, safe_corr
+from trilayer.functions.numeric import exact_mean, round_columns, safe_corr
 
 
 def time_profile(df: DataFrame, ts: str) -> DataFrame:
@@ -50,13 +50,18 @@ def rows_as_text(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     return first.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
 
 
+def _text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def pivot_mean(df: DataFrame, key: str, category: str, values: list[str], measure: str) -> DataFrame:
     """One row per key and one column per listed category with the mean of `measure`.
 
     Conditional averages need one exchange on `key`; a pivot on (key, category) would need a second one.  A category
     without rows gives null, an unlisted one is ignored.  Keys that only have unlisted categories stay.
     """
-    means = [F.avg(F.when(F.col(category) == v, F.col(measure))).alias(v) for v in values]
+    means = [exact_mean(f"if(`{category}` = {_text(v)}, cast(`{measure}` as double), null)").alias(v) for v in values]
     return df.groupBy(key).agg(*means)
 
 

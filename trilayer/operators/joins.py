@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trilayer.functions.numeric import exact_parts, exact_total
+
 
 def keep_listed(df: DataFrame, allowed: DataFrame, key: str, allowed_key: str) -> DataFrame:
     """Rows whose key is in the allow list.  Order and duplicates of the list do not matter."""
@@ -34,14 +36,21 @@ def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
     return rows.select(checked.alias(key), *others)
 
 
-# aggregate -> (partial columns, merge)
-_PARTIALS = {
-    "sum": (["sum"], lambda p: F.sum(p[0])),
-    "count": (["count"], lambda p: F.sum(p[0])),
-    "min": (["min"], lambda p: F.min(p[0])),
-    "max": (["max"], lambda p: F.max(p[0])),
-    "avg": (["sum", "count"], lambda p: F.try_divide(F.sum(p[0]), F.sum(p[1]).cast("double"))),
-}
+def _partials(agg: str, column: str, kind: str) -> dict[str, str]:
+    """Aggregates as SQL text, by name, that a measure needs of the rows of a key; doubles are summed exactly."""
+    name = f"`{column}`"
+    if agg in ("sum", "avg") and kind in ("double", "float"):
+        return exact_parts(f"cast({name} as double)")
+    return {k: f"{k}({name})" for k in (["sum", "count"] if agg == "avg" else [agg])}
+
+
+def _merged(agg: str, parts: dict[str, str]) -> Column:
+    """The measure from its partial columns."""
+    totals = {k: f"{k if k in ('min', 'max') else 'sum'}(`{name}`)" for k, name in parts.items()}
+    total = exact_total(totals) if "micro" in totals else totals.get("sum")
+    if agg == "avg":
+        return F.expr(f"try_divide({total}, cast({totals['count']} as double))")
+    return F.expr(total if agg == "sum" else totals[agg])
 
 
 def star_query(
@@ -59,17 +68,19 @@ def star_query(
     """
     home = [c for c in by if c in fact.columns]
     keys = list(dict.fromkeys([fact_key for _, fact_key, _ in dims] + home))
-    needed = {(kind, column) for agg, column in measures.values() for kind in _PARTIALS[agg][0]}
-    partial = {(kind, column): f"_{kind}_{column}" for kind, column in sorted(needed)}
-    small = fact.groupBy(*keys).agg(*(getattr(F, kind)(column).alias(name) for (kind, column), name in partial.items()))
+    kinds = dict(fact.dtypes)
+    parts = {(agg, c): _partials(agg, c, kinds[c]) for agg, c in measures.values()}
+    texts = dict.fromkeys(text for found in parts.values() for text in found.values())
+    partial = {text: f"_part{i}" for i, text in enumerate(texts)}
+    small = fact.groupBy(*keys).agg(*(F.expr(text).alias(name) for text, name in partial.items()))
 
     def attach(df: DataFrame, dim: tuple[DataFrame, str, str]) -> DataFrame:
         table, fact_key, dim_key = dim
         return with_dimension(df, one_row_per_key(table, dim_key), fact_key, dim_key, [c for c in by if c in table.columns and c not in home])
 
     joined = reduce(attach, dims, small)
-    merged = []
-    for name, (agg, column) in measures.items():
-        kinds, merge = _PARTIALS[agg]
-        merged.append(merge([F.col(partial[kind, column]) for kind in kinds]).alias(name))
+    merged = [
+        _merged(agg, {part: partial[text] for part, text in parts[agg, c].items()}).alias(name)
+        for name, (agg, c) in measures.items()
+    ]
     return joined.groupBy(*by).agg(*merged)

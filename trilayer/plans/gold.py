@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import date_key, in_period, is_weekend
-from trilayer.functions.numeric import round_columns
+from trilayer.functions.numeric import exact_mean, exact_sum, round_columns
 from trilayer.operators.clean import present
 from trilayer.operators.joins import star_query
 from trilayer.schemas import DIM_FX, DIM_GDP, DIM_ZONE, conform
@@ -57,7 +57,8 @@ def gdp_dim(silver: DataFrame) -> DataFrame:
 def trip_daily_fact(silver: DataFrame) -> DataFrame:
     """Trips per day and pickup zone.
 
-    All measures merge partial results, so a zone with a large share of the trips costs one row per task and day.
+    All measures merge partial results, so a zone with a large share of the trips costs one row per task and day.  Sums are
+    exact, so a mean that lies on half a cent is rounded the same way in every run.
     """
     trips = silver.select(
         F.to_date("pickup_datetime").alias("date"),
@@ -69,11 +70,11 @@ def trip_daily_fact(silver: DataFrame) -> DataFrame:
         .groupBy("date", "zone_id")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            F.avg("fare_amount").alias("avg_fare_usd"),
-            F.sum("fare_amount").alias("total_fare_usd"),
-            F.avg("fare_eur").alias("avg_fare_eur"),
-            F.avg("trip_distance").alias("avg_distance"),
-            F.avg("passenger_count").alias("avg_passengers"),
+            exact_mean("fare_amount").alias("avg_fare_usd"),
+            exact_sum("fare_amount").alias("total_fare_usd"),
+            exact_mean("fare_eur").alias("avg_fare_eur"),
+            exact_mean("trip_distance").alias("avg_distance"),
+            exact_mean("passenger_count").alias("avg_passengers"),
         )
     )
     money_and_means = ["avg_fare_usd", "total_fare_usd", "avg_fare_eur", "avg_distance", "avg_passengers"]
@@ -87,11 +88,11 @@ def air_daily_fact(silver: DataFrame) -> DataFrame:
         .groupBy("date", "parameter", "location_id", "location_name")
         .agg(
             F.count(F.lit(1)).alias("measurement_count"),
-            F.avg("value").alias("avg_value"),
+            exact_mean("value").alias("avg_value"),
             F.round(F.min("value"), 2).alias("min_value"),
             F.round(F.max("value"), 2).alias("max_value"),
-            F.avg("lat").alias("lat"),
-            F.avg("lon").alias("lon"),
+            exact_mean("lat").alias("lat"),
+            exact_mean("lon").alias("lon"),
         )
     )
     return round_columns(round_columns(daily, ["avg_value"], 2), ["lat", "lon"], 6).withColumn("date_key", date_key(F.col("date")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.functions.dates import in_period
-from trilayer.functions.numeric import round_columns
+from trilayer.functions.numeric import exact_mean, exact_sum, round_columns
 from trilayer.operators.aggregate import corr_matrix, pair_corrs, pivot_mean
 from trilayer.plans.silver import FIXED_USD_PER_EUR
 
@@ -17,8 +17,8 @@ COMPARED = ["pm25", "no2", "o3", "co"]
 def _mean_fare(weighted: bool) -> Column:
     """Plain mean of zone means, or total over trips."""
     if weighted:
-        return F.try_divide(F.sum("total_fare_usd"), F.sum("trip_count").cast("double"))
-    return F.avg("avg_fare_usd")
+        return F.try_divide(exact_sum("total_fare_usd"), F.sum("trip_count").cast("double"))
+    return exact_mean("avg_fare_usd")
 
 
 def city_day(trip_fact: DataFrame, weighted: bool = False) -> DataFrame:
@@ -66,7 +66,7 @@ def fx_daily_report(trip_fact: DataFrame, fx: DataFrame, fixed_rate: float = FIX
     """
     day = F.col("date")
     daily = trip_fact.groupBy("date").agg(
-        F.sum("trip_count").alias("total_trips"), F.sum("total_fare_usd").alias("total_fare_usd")
+        F.sum("trip_count").alias("total_trips"), exact_sum("total_fare_usd").alias("total_fare_usd")
     )
     daily = round_columns(daily, ["total_fare_usd"], 2)
     rates = fx.select("date", "usd_eur_rate")
@@ -94,7 +94,7 @@ def gdp_yearly_report(trip_fact: DataFrame, gdp: DataFrame, weighted: bool = Fal
     """
     yearly = trip_fact.groupBy(F.year("date").alias("year")).agg(
         F.sum("trip_count").alias("total_trips"),
-        F.sum("total_fare_usd").alias("total_fare_usd"),
+        exact_sum("total_fare_usd").alias("total_fare_usd"),
         _mean_fare(weighted).alias("avg_fare_usd"),
     )
     yearly = round_columns(yearly, ["total_fare_usd", "avg_fare_usd"], 2)

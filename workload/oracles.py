@@ -8,6 +8,21 @@ def r(expression: str, digits: int) -> str:
     return f"cast(round(cast(printf('%.14e', cast({expression} as double)) as decimal(38,18)), {digits}) as double)"
 
 
+def total(x: str) -> str:
+    """Sum of the decimals that doubles are written as."""
+    return f"cast(sum(cast(cast({x} as varchar) as decimal(38,15))) as double)"
+
+
+def mean(x: str) -> str:
+    """Mean of the decimals that doubles are written as."""
+    return f"({total(x)} / nullif(count({x}), 0))"
+
+
+def plain(x: str, digits: int) -> str:
+    """Half-up rounding of the decimal that a double is written as."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38,18)), {digits}) as double)"
+
+
 PERIOD = "date '2023-01-01' and date '2024-12-31'"
 
 TRIPS_ONCE = """
@@ -31,7 +46,7 @@ trip_silver as (
          cast(year(tpep_pickup_datetime) as int) as "year", cast(month(tpep_pickup_datetime) as int) as "month",
          cast(dayofweek(tpep_pickup_datetime) + 1 as int) as day_of_week,
          cast(hour(tpep_pickup_datetime) as int) as "hour",
-         {r("fare_amount / 1.08e0", 2)} as fare_eur
+         {plain("fare_amount / 1.08e0", 2)} as fare_eur
   from (select distinct * from trips)
   where trip_distance > 0 and fare_amount > 0 and passenger_count > 0 and tpep_pickup_datetime is not null)
 """
@@ -40,9 +55,9 @@ trip_fact as (
   select *, cast(strftime("date", '%Y%m%d') as int) as date_key from (
     select cast(pickup_datetime as date) as "date", cast("PULocationID" as bigint) as zone_id,
            count(*) as trip_count,
-           {r("avg(fare_amount)", 2)} as avg_fare_usd, {r("sum(fare_amount)", 2)} as total_fare_usd,
-           {r("avg(fare_eur)", 2)} as avg_fare_eur, {r("avg(trip_distance)", 2)} as avg_distance,
-           {r("avg(passenger_count)", 2)} as avg_passengers
+           {r(mean("fare_amount"), 2)} as avg_fare_usd, {r(total("fare_amount"), 2)} as total_fare_usd,
+           {r(mean("fare_eur"), 2)} as avg_fare_eur, {r(mean("trip_distance"), 2)} as avg_distance,
+           {r(mean("passenger_count"), 2)} as avg_passengers
     from trip_silver
     where cast(pickup_datetime as date) between {PERIOD} and "PULocationID" is not null
     group by 1, 2))
@@ -77,8 +92,8 @@ AIR_FACT = f"""{AIR_SILVER},
 air_fact as (
   select *, cast(strftime("date", '%Y%m%d') as int) as date_key from (
     select "date", parameter, location_id, location_name, count(*) as measurement_count,
-           {r("avg(value)", 2)} as avg_value, round(min(value), 2) as min_value, round(max(value), 2) as max_value,
-           {r("avg(lat)", 6)} as lat, {r("avg(lon)", 6)} as lon
+           {r(mean("value"), 2)} as avg_value, round(min(value), 2) as min_value, round(max(value), 2) as max_value,
+           {r(mean("lat"), 6)} as lat, {r(mean("lon"), 6)} as lon
     from air_silver
     where "date" between {PERIOD} and parameter is not null and location_name is not null
     group by 1, 2, 3, 4))
@@ -103,15 +118,15 @@ zones as (
 """
 CITY_DAY = f"""
 city_day as (
-  select "date", cast(sum(trip_count) as bigint) as total_trips, {r("avg(avg_fare_usd)", 2)} as avg_fare
+  select "date", cast(sum(trip_count) as bigint) as total_trips, {r(mean("avg_fare_usd"), 2)} as avg_fare
   from trip_fact where "date" between {PERIOD} group by 1)
 """
 AIR_PIVOT = f"""
 air_pivot as (
-  select "date", avg(case when parameter = 'pm25' then avg_value end) as pm25,
-         avg(case when parameter = 'no2' then avg_value end) as no2,
-         avg(case when parameter = 'o3' then avg_value end) as o3,
-         avg(case when parameter = 'co' then avg_value end) as co
+  select "date", {mean("case when parameter = 'pm25' then avg_value end")} as pm25,
+         {mean("case when parameter = 'no2' then avg_value end")} as no2,
+         {mean("case when parameter = 'o3' then avg_value end")} as o3,
+         {mean("case when parameter = 'co' then avg_value end")} as co
   from air_fact where "date" between {PERIOD} group by 1)
 """
 JOINED = f"""{TRIP_FACT}, {AIR_FACT.lstrip()}, {CITY_DAY}, {AIR_PIVOT},
@@ -157,7 +172,7 @@ fx_daily as (
          total_fare_usd, {r("total_fare_usd / 1.08e0", 2)} as fixed_fare_eur,
          {r("total_fare_usd / usd_eur_rate", 2)} as theoretical_fare_eur,
          {r("total_fare_usd / usd_eur_rate - total_fare_usd / 1.08e0", 2)} as eur_difference, usd_eur_rate
-  from (select "date", cast(sum(trip_count) as bigint) as total_trips, {r("sum(total_fare_usd)", 2)} as total_fare_usd
+  from (select "date", cast(sum(trip_count) as bigint) as total_trips, {r(total("total_fare_usd"), 2)} as total_fare_usd
         from trip_fact group by 1) t left join fx on t."date" = fx."date")
 """
 
@@ -167,7 +182,7 @@ def gdp_yearly(mean: str) -> str:
 select y."year", total_trips, total_fare_usd, avg_fare_usd, gdp_usd,
        {r("total_fare_usd * 100 / gdp_usd", 6)} as taxi_revenue_pct_of_gdp
 from (select cast(year("date") as int) as "year", cast(sum(trip_count) as bigint) as total_trips,
-             {r("sum(total_fare_usd)", 2)} as total_fare_usd, {r(mean, 2)} as avg_fare_usd
+             {r(total("total_fare_usd"), 2)} as total_fare_usd, {r(mean, 2)} as avg_fare_usd
       from trip_fact group by 1) y left join gdp on y."year" = gdp."year" """
 
 
@@ -394,35 +409,35 @@ ORACLES: dict[str, str] = {
         "Zone" as "zone", service_zone from zones""",
     "trip_by_borough": f"""with {TRIP_FACT}, {ZONES}
         select "Borough" as borough, cast(sum(trip_count) as bigint) as trip_count,
-               {r("sum(total_fare_usd)", 2)} as total_fare_usd
+               {r(total("total_fare_usd"), 2)} as total_fare_usd
         from trip_fact left join zones on zone_id = cast("LocationID" as bigint) group by 1""",
     "trip_by_year_borough": f"""with {TRIP_FACT}, {ZONES}, {CALENDAR}
         select c."year", "Borough" as borough, cast(sum(trip_count) as bigint) as trips,
                count(f."date") as days_with_trips, min(avg_fare_usd) as lowest_fare, max(avg_fare_usd) as highest_fare,
-               {r("avg(avg_fare_usd)", 4)} as mean_fare
+               {r(mean("avg_fare_usd"), 4)} as mean_fare
         from trip_fact f left join zones on zone_id = cast("LocationID" as bigint)
              left join calendar c on f.date_key = c.date_key group by 1, 2""",
     "trip_by_quarter_weekend": f"""with {TRIP_FACT}, {CALENDAR}
         select "quarter", is_weekend, cast(sum(trip_count) as bigint) as trip_count,
-               {r("sum(total_fare_usd)", 2)} as total_fare_usd
+               {r(total("total_fare_usd"), 2)} as total_fare_usd
         from trip_fact f left join calendar c on f.date_key = c.date_key group by 1, 2""",
     "trip_model_sums": f"""with {TRIP_FACT}, {ZONES}, {CALENDAR}
         select c."year", "Borough" as borough, cast(sum(trip_count) as bigint) as trip_count,
-               {r("sum(avg_fare_usd)", 2)} as avg_fare_usd, {r("sum(total_fare_usd)", 2)} as total_fare_usd,
-               {r("sum(avg_fare_eur)", 2)} as avg_fare_eur, {r("sum(avg_distance)", 2)} as avg_distance,
-               {r("sum(avg_passengers)", 2)} as avg_passengers
+               {r(total("avg_fare_usd"), 2)} as avg_fare_usd, {r(total("total_fare_usd"), 2)} as total_fare_usd,
+               {r(total("avg_fare_eur"), 2)} as avg_fare_eur, {r(total("avg_distance"), 2)} as avg_distance,
+               {r(total("avg_passengers"), 2)} as avg_passengers
         from trip_fact f left join zones on zone_id = cast("LocationID" as bigint)
              left join calendar c on f.date_key = c.date_key group by 1, 2""",
     "air_model_sums": f"""with {AIR_FACT}, {TRIPS}, {CALENDAR}
         select c."year", c."month", cast(sum(location_id) as bigint) as location_id,
-               cast(sum(measurement_count) as bigint) as measurement_count, {r("sum(avg_value)", 2)} as avg_value,
-               {r("sum(min_value)", 2)} as min_value, {r("sum(max_value)", 2)} as max_value,
-               {r("sum(lat)", 2)} as lat, {r("sum(lon)", 2)} as lon
+               cast(sum(measurement_count) as bigint) as measurement_count, {r(total("avg_value"), 2)} as avg_value,
+               {r(total("min_value"), 2)} as min_value, {r(total("max_value"), 2)} as max_value,
+               {r(total("lat"), 2)} as lat, {r(total("lon"), 2)} as lon
         from air_fact f left join calendar c on f.date_key = c.date_key group by 1, 2""",
     "city_day_rollup": f"with {TRIP_FACT}, {CITY_DAY} select * from city_day",
     "city_day_rollup_weighted": f"""with {TRIP_FACT}
         select "date", cast(sum(trip_count) as bigint) as total_trips,
-               {r("sum(total_fare_usd) / sum(trip_count)", 2)} as avg_fare
+               {r(total("total_fare_usd") + " / sum(trip_count)", 2)} as avg_fare
         from trip_fact where "date" between {PERIOD} group by 1""",
     "calendar_dim": f"with {TRIPS}, {CALENDAR} select * from calendar",
     "load_reconciliation": f"""with {TRIP_SILVER}
@@ -446,7 +461,7 @@ ORACLES: dict[str, str] = {
         from air_bronze group by 1""",
     "air_by_month": f"""with {AIR_FACT}, {TRIPS}, {CALENDAR}
         select c."year", c."month", parameter, cast(sum(measurement_count) as bigint) as measurements,
-               {r("avg(avg_value)", 6)} as mean_value
+               {r(mean("avg_value"), 6)} as mean_value
         from air_fact f left join calendar c on f.date_key = c.date_key group by 1, 2, 3""",
     "air_pivot": f"with {AIR_FACT}, {AIR_PIVOT} select {rounded(COMPARED)} from air_pivot",
     "trip_air_joined": f'with {JOINED} select {rounded(COMPARED)} from joined order by "date"',
@@ -461,12 +476,12 @@ ORACLES: dict[str, str] = {
     "trip_fx_daily": f"with {TRIP_FACT}, {FX}, {FX_DAILY} select * from fx_daily",
     "trip_fx_monthly": f"""with {TRIP_FACT}, {FX}, {FX_DAILY}
         select "year", "month", cast(sum(total_trips) as bigint) as total_trips,
-               {r("sum(total_fare_usd)", 2)} as total_fare_usd, {r("sum(fixed_fare_eur)", 2)} as fixed_fare_eur,
-               {r("sum(theoretical_fare_eur)", 2)} as theoretical_fare_eur,
-               {r("sum(eur_difference)", 2)} as eur_difference
+               {r(total("total_fare_usd"), 2)} as total_fare_usd, {r(total("fixed_fare_eur"), 2)} as fixed_fare_eur,
+               {r(total("theoretical_fare_eur"), 2)} as theoretical_fare_eur,
+               {r(total("eur_difference"), 2)} as eur_difference
         from fx_daily group by 1, 2""",
-    "trip_gdp_yearly": gdp_yearly("avg(avg_fare_usd)"),
-    "trip_gdp_yearly_weighted": gdp_yearly("sum(total_fare_usd) / sum(trip_count)"),
+    "trip_gdp_yearly": gdp_yearly(mean("avg_fare_usd")),
+    "trip_gdp_yearly_weighted": gdp_yearly(f"{total('total_fare_usd')} / sum(trip_count)"),
     "location_manifest": f"""select distinct {RECORD_KEY} as file_key,
         'https://archive.example/' || {RECORD_KEY} as file_url, user_id as location_id,
         cast({RECORD_YEAR} as int) as "year", cast(1 + event_id % 12 as int) as "month" from events""",
