@@ -15,6 +15,7 @@ from trilayer.plans.gold import date_dim
 from trilayer.plans.weather import enrich_weather
 from trilayer.schemas import DIM_ZONE, HOURLY_FIELDS, TEXT_BYTES, conform
 from trilayer.sinks import documents, tables
+from trilayer.sinks import reload as sink_reload
 from trilayer.sinks.reload import create_time_table, replace_range
 from trilayer.sources.calendar import calendar_days
 
@@ -197,3 +198,117 @@ def test_losses_are_counted(spark):
     written = tables.load_table(rows, "bronze.lossy", shape)
     assert (written, written.nulled, written.cut) == (3, 1, 0)
     assert {r["b"] for r in spark.table("bronze.lossy").collect()} == {"ééé", "é", None}
+
+
+STEPS = ["_stage", "_swap_in", "_drop_emptied", "_forget"]
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+def test_reload_cut_off_at_any_step_loses_no_row(spark, monkeypatch, step, after):
+    name = f"silver.cut_{step}_{after}"
+    before = hours(spark, "a", 0, 24 * 8, 1).unionByName(hours(spark, "b", 0, 48, 2))
+    batch = hours(spark, "a", 30, 24 * 4, 9, skip=range(48, 96))
+    create_time_table(before, name, "site", "ts")
+    expected = content(reload.replaced_range(before, batch, "site", "ts"))
+    work = getattr(sink_reload, step)
+
+    def cut_off(*args):
+        if after:
+            work(*args)
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(sink_reload, step, cut_off)
+    # The call that clears up after an earlier run is not cut off, the one after staging is.
+    monkeypatch.setattr(sink_reload, "recover", lambda s, n, real=sink_reload.recover: real(s, n) if s.catalog.tableExists(f"{n}__staged") else False)
+    with pytest.raises(RuntimeError):
+        replace_range(batch, name, "site", "ts")
+    monkeypatch.undo()
+    finished = sink_reload.recover(spark, name)
+    staged_in_full = step != "_stage" or after
+    assert finished == (staged_in_full and (step, after) != ("_forget", True))
+    assert content(spark.table(name)) == (expected if staged_in_full else content(before))
+    assert replace_range(batch, name, "site", "ts") == batch.count()
+    assert content(spark.table(name)) == expected
+    assert not [t.name for t in spark.catalog.listTables("silver") if t.name.startswith(name.split(".")[1] + "__")]
+
+
+def test_a_swap_cut_off_half_way_is_finished(spark, monkeypatch):
+    name = "silver.cut_commit"
+    before, batch = hours(spark, "a", 0, 24 * 6, 1), hours(spark, "a", 0, 24 * 6, 2)
+    create_time_table(before, name, "site", "ts")
+    expected = content(batch)
+    monkeypatch.setattr(sink_reload, "recover", lambda *_: False)
+    replace_range(batch, name, "site", "ts")
+    monkeypatch.undo()
+    # What a lost driver leaves of a commit: partitions are gone, their new folders are not there yet.
+    spark.sql(f"ALTER TABLE {name} DROP PARTITION (site='a', day='2024-01-02'), PARTITION (site='a', day='2024-01-04')")
+    assert sink_reload.recover(spark, name)
+    assert content(spark.table(name)) == expected
+
+
+def test_many_emptied_partitions_go_in_one_statement(spark, monkeypatch):
+    name, days = "silver.emptied", 1002
+    create_time_table(spark.range(days).selectExpr("'a\\'b' as site", "timestamp'2020-01-01' + make_dt_interval(cast(id as int)) as ts", "1 as v"), name, "site", "ts")
+    batch = spark.range(2).selectExpr("'a\\'b' as site", f"timestamp'2020-01-01' + make_dt_interval(cast(id * {days - 1} as int)) as ts", "2 as v")
+    said = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, real=type(spark).sql: (said.append(text), real(self, text))[1])
+    assert replace_range(batch, name, "site", "ts") == 2
+    assert len([t for t in said if "DROP IF EXISTS PARTITION" in t]) == 1
+    assert spark.table(name).count() == spark.sql(f"SHOW PARTITIONS {name}").count() == 2
+
+
+def test_reload_leaves_the_session_as_it_is(spark):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    create_time_table(hours(spark, "a", 0, 30, 1), "silver.own", "site", "ts")
+    before = spark.conf.get(setting)
+    replace_range(hours(spark, "a", 5, 3, 2), "silver.own", "site", "ts")
+    assert spark.conf.get(setting) == before
+
+
+@pytest.mark.parametrize("told", ["TO bronze.again__old", "again__next RENAME TO bronze.again", "DROP TABLE IF EXISTS bronze.again__old"])
+def test_recreate_cut_off_between_names(spark, monkeypatch, told):
+    tables.write_table(spark.range(5), "bronze.again", recreate=True)
+    real = type(spark).sql
+
+    def cut_off(self, text):
+        if text.endswith(told) and cut_off.armed:
+            cut_off.armed = False
+            raise RuntimeError("cut off")
+        return real(self, text)
+
+    cut_off.armed = True
+    monkeypatch.setattr(type(spark), "sql", cut_off)
+    with pytest.raises(RuntimeError):
+        tables.write_table(spark.range(7), "bronze.again", recreate=True)
+    monkeypatch.undo()
+    tables.recover_swap(spark, "bronze.again")
+    spark.catalog.refreshTable("bronze.again")
+    assert spark.table("bronze.again").count() == (5 if told == "TO bronze.again__old" else 7)
+    assert not [t.name for t in spark.catalog.listTables("bronze") if t.name.startswith("again__")]
+
+
+def test_recreate_a_partitioned_table(spark):
+    for n in (4, 6):
+        rows = spark.range(n).selectExpr("id", "'p' || id % 2 as parameter")
+        assert tables.write_table(rows, "bronze.parts", partition_by=["parameter"], recreate=True) == n
+        assert spark.table("bronze.parts").count() == n
+        assert spark.sql("SHOW PARTITIONS bronze.parts").count() == 2
+    same = spark.table("bronze.parts").where("id < 5")
+    assert tables.write_table(same, "bronze.parts", partition_by=["parameter"], recreate=True) == 5
+    assert spark.table("bronze.parts").count() == 5
+    assert tables.write_table(spark.range(9), "bronze.parts", recreate=True) == 9
+    assert spark.table("bronze.parts").count() == 9 and spark.table("bronze.parts").columns == ["id"]
+
+
+def test_recreate_a_partitioned_table_cut_off_while_it_is_written(spark, monkeypatch):
+    rows = spark.range(6).selectExpr("id", "'p' || id % 2 as parameter")
+    tables.write_table(rows, "bronze.cut_parts", partition_by=["parameter"], recreate=True)
+    monkeypatch.setattr(tables, "_rewrite", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tables.write_table(rows.where("id < 4"), "bronze.cut_parts", partition_by=["parameter"], recreate=True)
+    monkeypatch.undo()
+    spark.sql("ALTER TABLE bronze.cut_parts DROP PARTITION (parameter='p1')")
+    tables.recover_swap(spark, "bronze.cut_parts", ["parameter"])
+    assert sorted(r["id"] for r in spark.table("bronze.cut_parts").collect()) == [0, 1, 2, 3]
+    assert not spark.catalog.tableExists("bronze.cut_parts__whole")

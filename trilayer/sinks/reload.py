@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +10,10 @@ from trilayer.sinks.tables import TABLE_FORMAT, _balanced, observed
 
 DAY = "day"
 
+# What a reload keeps beside the table: rows being staged, rows staged in full, partitions left without rows.
+STAGING, STAGED, EMPTIED = "__staging", "__staged", "__emptied"
+DROPPED_AT_ONCE = 1000
+
 
 def _with_day(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(DAY, F.to_date(ts))
@@ -36,36 +37,9 @@ def _partitions(spark: SparkSession, name: str, key: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}").select(value(0).alias(key), value(1).try_cast("date").alias(DAY))
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only partitions that receive rows.  Spark then also allows reading the table that is written.
-
-    Inserting into a table takes this from the session, not from a write option.
-    """
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
-def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
-    """Replace the rows of the batch's keys within the batch's time bounds by the batch; returns the batch's row count.
-
-    Only the first and the last day of a key's range can hold rows that stay, so only these days are read: the distinct
-    edge days are fetched, at most as many as the calendar has, and prune the scan as literals.  The batch's partitions
-    are overwritten; partitions in between for which the batch has no rows are dropped.
-
-    A repeated run gives the same table.  On plain files the change is not atomic: the commit replaces partition folders
-    one after another and the drop follows, so readers can see it half done, and a driver lost during the commit can
-    cost rows of an edge day.  The batch is read several times and must not read from the table; pass a table or files,
-    not an expensive query.
-    """
+def _staged_rows(batch: DataFrame, name: str, key: str, ts: str) -> tuple[DataFrame, DataFrame]:
+    """What the partitions that the batch touches shall hold, with `_new` for its own rows; the partitions left without rows."""
     spark = batch.sparkSession
-    if not batch.filter(F.col(key).isNull() | F.col(ts).isNull()).isEmpty():
-        raise ValueError(f"rows without {key} or {ts} cannot be placed")
     table = spark.read.table(name)
     bounds = time_bounds(batch, key, ts)
     spans = bounds.select(
@@ -82,13 +56,90 @@ def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
     within = (F.col(key) == F.col("_key")) & F.col(DAY).between(F.col("_first"), F.col("_last"))
     batch_days = fresh.select(key, DAY).distinct()
     emptied = _partitions(spark, name, key).join(spans, within, "left_semi").join(batch_days, [key, DAY], "left_anti")
-    to_drop = emptied.collect()
+    return kept.unionByName(fresh), emptied
 
+
+def _stage(batch: DataFrame, name: str, key: str, ts: str) -> int:
+    """Write both to tables beside the target.  A reload counts from the moment the staged rows have their final name; that
+    table has no partitions, because not every catalog moves these along with a name."""
+    spark = batch.sparkSession
+    rows, emptied = _staged_rows(batch, name, key, ts)
+    emptied.write.mode("overwrite").saveAsTable(f"{name}{EMPTIED}")
     seen = Observation()
-    rows = _balanced(kept.unionByName(fresh), [key, DAY]).observe(seen, F.count_if("_new").alias("rows"))
-    with _dynamic_overwrite(spark):
-        rows.drop("_new").write.mode("overwrite").insertInto(name)
-    for part in to_drop:
-        text = str(part[key]).replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({key}='{text}', {DAY}='{part[DAY]}')")
+    rows = rows.observe(seen, F.count_if("_new").alias("rows"))
+    rows.drop("_new").write.mode("overwrite").saveAsTable(f"{name}{STAGING}")
+    spark.sql(f"ALTER TABLE {name}{STAGING} RENAME TO {name}{STAGED}")
     return seen.get["rows"]
+
+
+def _swap_in(spark: SparkSession, name: str) -> None:
+    """Overwrite the partitions that staged rows belong to.  Which ones are overwritten is a setting of the session, so
+    this goes through a session of its own and other writers keep theirs."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    columns = spark.read.table(name).columns
+    rows = own.read.table(f"{name}{STAGED}").select(*columns)
+    # A time table's partition columns, the key and the day, are its last ones.
+    _balanced(rows, columns[-2:]).write.mode("overwrite").insertInto(name)
+    spark.catalog.refreshTable(name)
+
+
+def _drop_emptied(spark: SparkSession, name: str) -> None:
+    """Drop the partitions left without rows, `DROPPED_AT_ONCE` in a statement."""
+    emptied = spark.read.table(f"{name}{EMPTIED}")
+    key = emptied.columns[0]
+    text = F.replace(F.replace(F.col(key).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    specs = emptied.select(F.format_string(f"PARTITION (`{key}`='%s', `{DAY}`='%s')", text, F.col(DAY).cast("string")))
+    waiting = []
+    for row in specs.toLocalIterator():
+        waiting.append(row[0])
+        if len(waiting) == DROPPED_AT_ONCE:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(waiting)}")
+            waiting = []
+    if waiting:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(waiting)}")
+
+
+def _forget(spark: SparkSession, name: str) -> None:
+    """Remove what a reload left beside the table; the staged rows first, for while they are there it counts as unfinished."""
+    for suffix in (STAGED, STAGING, EMPTIED):
+        spark.sql(f"DROP TABLE IF EXISTS {name}{suffix}")
+
+
+def recover(spark: SparkSession, name: str) -> bool:
+    """Finish or undo a reload of the table that was cut off; whether one was finished.
+
+    Once the staged rows have their final name the reload is finished, which can be repeated any number of times: the swap overwrites
+    the same partitions by the same rows, and a partition is dropped if it is still there.  Before that the table
+    is untouched, and what was staged goes.
+    """
+    staged = spark.catalog.tableExists(f"{name}{STAGED}")
+    if staged:
+        _swap_in(spark, name)
+        _drop_emptied(spark, name)
+    _forget(spark, name)
+    return staged
+
+
+def replace_range(batch: DataFrame, name: str, key: str, ts: str) -> int:
+    """Replace the rows of the batch's keys within the batch's time bounds by the batch; returns the batch's row count.
+
+    Only the first and the last day of a key's range can hold rows that stay, so only these days are read: the distinct
+    edge days are fetched, at most as many as the calendar has, and prune the scan as literals.
+
+    The new content of every touched partition is written to a table beside the target, then swapped in by
+    one overwrite of these partitions; partitions in between for which the batch has no rows are dropped a thousand at a time.  A
+    run that is cut off at any point loses no row: the next call, or `recover`, finishes it or undoes it.  On plain
+    files readers can see the swap half done.
+
+    A repeated run gives the same table.  The batch is read several times and must not read from the table; pass a table
+    or files, not an expensive query.
+    """
+    spark = batch.sparkSession
+    recover(spark, name)
+    if not batch.filter(F.col(key).isNull() | F.col(ts).isNull()).isEmpty():
+        raise ValueError(f"rows without {key} or {ts} cannot be placed")
+    rows = _stage(batch, name, key, ts)
+    recover(spark, name)
+    return rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,9 @@ from trilayer.schemas import WAREHOUSE, conform, conversion_losses
 
 TABLE_FORMAT = "parquet"
 
+# Beside a table that is being recreated: the new one, the old one while names change, rows of a partitioned one in full.
+NEXT, OLD, WHOLE = "__next", "__old", "__whole"
+
 
 def _balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Spread rows for a partitioned write.
@@ -26,21 +29,61 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def recover_swap(spark: SparkSession, name: str, partition_by: list[str] | None = None) -> None:
+    """Finish a recreation that was cut off after its rows had been written in full, undo one that was cut off before."""
+    has = spark.catalog.tableExists
+    if has(f"{name}{OLD}"):
+        if not has(name):
+            spark.sql(f"ALTER TABLE {name}{NEXT if has(f'{name}{NEXT}') else OLD} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}{OLD}")
+    if has(f"{name}{WHOLE}"):
+        _rewrite(spark, name, partition_by or [])
+    spark.sql(f"DROP TABLE IF EXISTS {name}{NEXT}")
+
+
+def _rename(spark: SparkSession, name: str) -> None:
+    """The new table takes the name, the old one being set aside until it has."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{OLD}")
+    spark.sql(f"ALTER TABLE {name}{NEXT} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}{OLD}")
+
+
+def _rewrite(spark: SparkSession, name: str, keys: list[str]) -> None:
+    """Write the table from the rows staged in full, which can be repeated: not every catalog moves partitions along with
+    a name."""
+    rows = spark.read.table(f"{name}{WHOLE}")
+    fmt = spark.sql(f"DESCRIBE EXTENDED {name}{WHOLE}").where("col_name = 'Provider'").first()["data_type"]
+    _balanced(rows, keys).write.format(fmt).mode("overwrite").partitionBy(*keys).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}{WHOLE}")
+
+
+def _partitioned(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and any(c.isPartition for c in spark.catalog.listColumns(name))
+
+
 def write_table(
     df: DataFrame, name: str, partition_by: list[str] | None = None, fmt: str = TABLE_FORMAT, recreate: bool = False
 ) -> int:
     """Replace a table and its schema.
 
-    With `recreate` the rows first go to a table beside it, which takes the name once it is whole: a failed write leaves
-    the old table as it was, and `df` may read it.
+    With `recreate` the rows first go to a table beside it, which takes the name once it is whole, the old one being set
+    aside until then: a failed write leaves the old table as it was, `df` may read it, and a run that is cut off
+    between the two is finished by the next call or by `recover_swap`.
     """
-    keys = partition_by or []
-    rows, seen = observed(_balanced(df, keys))
-    target = f"{name}__next" if recreate else name
-    rows.write.format(fmt).mode("overwrite").partitionBy(*keys).saveAsTable(target)
+    spark, keys = df.sparkSession, partition_by or []
     if recreate:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-        df.sparkSession.sql(f"ALTER TABLE {target} RENAME TO {name}")
+        recover_swap(spark, name, keys)
+        rows, seen = observed(df)
+        rows.write.format(fmt).mode("overwrite").saveAsTable(f"{name}{NEXT}")
+        if keys or _partitioned(spark, name):
+            spark.sql(f"ALTER TABLE {name}{NEXT} RENAME TO {name}{WHOLE}")
+            _rewrite(spark, name, keys)
+        else:
+            _rename(spark, name)
+    else:
+        rows, seen = observed(_balanced(df, keys))
+        rows.write.format(fmt).mode("overwrite").partitionBy(*keys).saveAsTable(name)
     return seen.get["rows"]
 
 
