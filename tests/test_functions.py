@@ -189,7 +189,7 @@ def test_exact_sum_of_odd_values(spark):
 
     assert both([]) == both([None]) == (None, None)
     assert both([0.1] * 10 + [None]) == (1.0, 0.1)
-    assert both([1e13, 1.5, -1e13]) == (1.5, 0.5)
+    assert both([1e13, 1.5, -1e13]) == (1.5, 0.5) and both([1e9 - 1, 1.0]) == (1e9, 5e8)
     assert both([math.inf, 1.0]) == (math.inf, math.inf)
     assert all(math.isnan(x) for x in both([math.nan, 1.0]))
     assert both([1e-9, -1e-9, 3e-9]) == (3e-9, 1e-9)

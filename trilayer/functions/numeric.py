@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # Significant digits of a double that hold no error of one or two roundings.
 SURE_DIGITS = 15
 
-# Units that sums are counted in, the size from which a value is not counted but added as it is.
-MICRO, FINE, ODD = "1e6D", "1e15D", "1e12D"
+# Units that sums are counted in, the size from which a value is not counted but added as it is, and the bits of the lower
+# piece of a number of millionths.
+MICRO, FINE, ODD, PIECE = "1e6D", "1e12D", "1e9D", 24
 
 
 def _half_up(value: str, digits: int) -> str:
@@ -42,15 +43,18 @@ def stable_round(column: str, digits: int) -> Column:
 def exact_parts(value: str) -> dict[str, str]:
     """SQL text of the aggregates that an exact sum of a double expression consists of; each merges by plain sums.
 
-    A double is taken as a whole number of millionths, which it is if it stands for a decimal of up to six places, and the
-    rest as a whole number of 1e-15.  Both are added as decimals, so neither the order of the rows nor the way they are
-    spread over tasks can change the sum.  Values from 1e12 on, infinities and NaN are added as doubles.
+    A double is taken as a whole number of millionths, which it is if it stands for a decimal of up to six places, in two
+    pieces, and the rest as a whole number of 1e-12.  These are added as longs, so neither the order of the rows nor the way
+    they are spread over tasks can change the sum; 1.5e11 rows of any size fit, an overflow raises.  Values from 1e9 on, infinities and
+    NaN are added as doubles.
     """
-    micro = f"rint(({value}) * {MICRO})"
     counted = f"abs({value}) < {ODD}"
+    micro = f"cast(if({counted}, rint(({value}) * {MICRO}), null) as bigint)"
+    rest = f"if({counted}, rint((({value}) - rint(({value}) * {MICRO}) / {MICRO}) * {FINE}), null)"
     return {
-        "micro": f"sum(if({counted}, cast(cast({micro} as bigint) as decimal(19,0)), null))",
-        "fine": f"sum(if({counted}, cast(cast(rint((({value}) - {micro} / {MICRO}) * {FINE}) as bigint) as decimal(19,0)), null))",
+        "high": f"sum(shiftright({micro}, {PIECE}))",
+        "low": f"sum({micro} & {(1 << PIECE) - 1}L)",
+        "fine": f"sum(cast({rest} as bigint))",
         "odd": f"sum(if({counted}, null, {value}))",
         "count": f"count({value})",
     }
@@ -58,7 +62,8 @@ def exact_parts(value: str) -> dict[str, str]:
 
 def exact_total(parts: dict[str, str]) -> str:
     """SQL text of the sum as a double, from the (merged) aggregates; null without rows."""
-    counted = f"cast(cast({parts['micro']} * 1000000000BD + {parts['fine']} as decimal(38,0)) as double) / {FINE}"
+    micro = f"(cast({parts['high']} as decimal(20,0)) * {1 << PIECE}BD + {parts['low']})"
+    counted = f"cast(cast({micro} * 1000000BD + {parts['fine']} as decimal(38,0)) as double) / {FINE}"
     return f"if({parts['count']} = 0, null, coalesce({counted}, 0D) + coalesce({parts['odd']}, 0D))"
 
 

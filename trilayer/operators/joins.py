@@ -47,7 +47,7 @@ def _partials(agg: str, column: str, kind: str) -> dict[str, str]:
 def _merged(agg: str, parts: dict[str, str]) -> Column:
     """The measure from its partial columns."""
     totals = {k: f"{k if k in ('min', 'max') else 'sum'}(`{name}`)" for k, name in parts.items()}
-    total = exact_total(totals) if "micro" in totals else totals.get("sum")
+    total = exact_total(totals) if "odd" in totals else totals.get("sum")
     if agg == "avg":
         return F.expr(f"try_divide({total}, cast({totals['count']} as double))")
     return F.expr(total if agg == "sum" else totals[agg])

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilayer.operators.aggregate import rows_as_text
-from trilayer.operators.quantiles import numeric_summary
+from trilayer.operators.aggregate import take_rows
+from trilayer.operators.quantiles import numeric_columns, summarised, survey
 
 
 @dataclass(frozen=True)
@@ -138,32 +138,39 @@ def _with_rounded(structs: str, field: str, digits: int) -> Column:
     return F.transform(structs, lambda s: s.withField(field, F.round(s[field], digits)))
 
 
-def profile(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
-    """One row: `rows`, `results` (one struct per rule) and `nulls` (one struct per column)."""
-    rules = list(rules)
+def _counts(df: DataFrame, rules: list[Rule]) -> dict[str, str]:
+    """The counts that rules and the null summary are made of, as SQL aggregates by name."""
     unknown = sorted({r.column for r in rules if r.column is not None} - set(df.columns))
     if unknown:
         raise ValueError(f"rules on unknown columns: {unknown}")
-    null_of = {c: f"null{i}" for i, c in enumerate(df.columns)}
-    counts = ["count(1) as rows"]
-    counts += [f"count_if({_missing(df, c)}) as {name}" for c, name in null_of.items()]
-    counts += [f"count_if({_broken(df, r)}) as broken{i}" for i, r in enumerate(rules) if r.kind != "row_count"]
+    counts = {"rows": "count(1)"} | {f"null{i}": f"count_if({_missing(df, c)})" for i, c in enumerate(df.columns)}
+    return counts | {f"broken{i}": f"count_if({_broken(df, r)})" for i, r in enumerate(rules) if r.kind != "row_count"}
+
+
+def _profiled(row: DataFrame, columns: list[str], rules: list[Rule]) -> DataFrame:
+    """The profile from one row of counts."""
+    null_of = {c: f"null{i}" for i, c in enumerate(columns)}
     results = [_verdict(rule, f"broken{i}", null_of.get(rule.column)) for i, rule in enumerate(rules)]
     nulls = [
         f"named_struct('column', {_literal(c)}, 'null_count', {name}, "
         f"'null_percent', try_divide(100D * {name}, rows))"
         for c, name in null_of.items()
     ]
-    row = df.agg(*map(F.expr, counts)).selectExpr(
-        "rows", f"array({', '.join(results)}) as results", f"array({', '.join(nulls)}) as nulls"
-    )
-    return row.select(
+    found = row.selectExpr("rows", f"array({', '.join(results)}) as results", f"array({', '.join(nulls)}) as nulls")
+    return found.select(
         "rows",
         (_with_rounded("results", "unexpected_percent", 6) if rules else F.col("results")).alias("results"),
         _with_rounded("nulls", "null_percent", 2).alias("nulls"),
     )
 
 
+def profile(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
+    """One row: `rows`, `results` (one struct per rule) and `nulls` (one struct per column)."""
+    rules = list(rules)
+    row = df.agg(*(F.expr(text).alias(name) for name, text in _counts(df, rules).items()))
+    return _profiled(row, df.columns, rules)
+
+
 def run_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One row per rule."""
     return profile(df, rules).select(F.inline("results"))
@@ -201,16 +208,21 @@ def quality_report(
 ) -> DataFrame:
     """The whole report as one row of nested columns, ready for a JSON sink.
 
-    Rules, statistics and nulls come from one pass over `df`, quartiles from `numeric_summary`, the first rows from a
-    top-n.  `top` and `first` bound the listed nulls and rows.  Everything that meets in the row has a size set by the number of columns and rules.
+    `df` is read three times: for rules, nulls and the numeric survey, for the quartiles, and for the first rows, a top-n.
+    Rows that are equal in `first_rows_by` follow each other by their whole text, so the same ones are shown each time.
+    `top` and `first` bound the listed nulls and rows.  Everything that meets in the row has a size set by the number of columns and rules.
     """
+    rules = list(rules)
+    counts = _counts(df, rules)
+    counted, facts = survey(df, numeric_columns(df), list(counts.values()))
+    row = df.sparkSession.createDataFrame([tuple(counted)], ", ".join(f"{name} bigint" for name in counts))
     results, nulls = F.col("results"), F.col("nulls")
     failed = F.filter(results, lambda r: ~r["success"])
     # Structs sort by their first field first: negate the count for descending, then the name.
     ranked = F.array_sort(
         F.transform(nulls, lambda n: F.struct((-n["null_count"]).alias("o"), n["column"].alias("c"), n.alias("n")))
     )
-    head = profile(df, rules).select(
+    head = _profiled(row, df.columns, rules).select(
         F.lit(name).alias("report_name"),
         F.lit(source).alias("source"),
         F.lit(generated_at.isoformat()).alias("generated_at_utc"),
@@ -232,9 +244,11 @@ def quality_report(
         ).alias("failures"),
         F.transform(F.slice(ranked, 1, top), lambda x: x["n"]).alias("null_summary"),
     )
-    numbers = numeric_summary(df)
+    numbers = summarised(df, facts)
     numeric = numbers.agg(F.array_sort(F.collect_list(F.struct(*numbers.columns))).alias("numeric_summary"))
-    text = rows_as_text(df, first, first_rows_by)
-    rows = text.agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in text.columns))).alias("first_rows"))
+    text = F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns)).alias("row")
+    shown = take_rows(df.select(*(F.col(f"`{c}`").alias(f"_by{i}") for i, c in enumerate(first_rows_by)), text, F.to_json(text).alias("_text")), first, [*(f"_by{i}" for i in range(len(first_rows_by))), "_text"])
+    ordered = F.array_sort(F.collect_list(F.struct(*(c for c in shown.columns if c.startswith("_by")), "_text", "row")))
+    rows = shown.agg(F.transform(ordered, lambda r: r["row"]).alias("first_rows"))
     parts = head.unionByName(numeric, allowMissingColumns=True).unionByName(rows, allowMissingColumns=True)
     return parts.agg(*(F.first(c, ignorenulls=True).alias(c) for c in parts.columns))
