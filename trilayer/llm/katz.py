@@ -12,8 +12,9 @@ weight times unigram, else the unknown word.
    context, packed in one row for each block and bucket, into a table bucketed by that number.  A context that
    makes 1/`HOT_SHARE` or more of all training tokens is spread over all buckets; there are at most `HOT_SHARE` of these and the start.
 3. A pass over the buckets merges the counts: counts of counts, and which words a bucket needs the unigram count of.
-4. A second pass, with these counts, discounts, weighs and looks up, and sums for each document.  Weights of spread contexts are
-   added up last.
+4. A second pass, with these counts, discounts, weighs and looks up, and sums for the documents of each block, a row for each
+   bucket and block.  The rows of a block, no more numbers than its text has tokens, are added up last, with the weights
+   of spread contexts.
 
 Every count covers all training rows.  A null text is empty (its end is still a token), a null id counts as the empty text in the choice of held-out rows,
 repeated rows are counted and scored one by one.  Without training rows every word is unknown, with probability one.
@@ -331,18 +332,20 @@ def bucket_counts(packed: DataFrame, hot: np.ndarray) -> DataFrame:
     return packed.where("bucket >= 0").groupBy("bucket").applyInArrow(run, shape)
 
 
+#: Arrays of a row of sums.
+PART_ARRAYS = {
+    "doc": pa.int32(), "base": pa.float64(), "known": pa.int64(), "score": pa.float64(), "late_doc": pa.int32(), "late_hot": pa.int32(),
+    "late_times": pa.int64(), "hot": pa.int32(), "seen": pa.float64(),
+}
+
+
 def bucket_scores(packed: DataFrame, known: DataFrame, unigrams: Unigrams, ratios: np.ndarray, hot: np.ndarray, hot_tokens: np.ndarray, hot_kept: np.ndarray) -> DataFrame:
-    """Sums for each document and bucket: `row`, base, known, score.  For a spread context, `hot`: the times it backs off in a document, and
-    the unigram probability of the words seen after it in this bucket (`row` null)."""
+    """A row for each bucket and block: `doc`, the block's documents with a bigram here, and their sums of base, known and score;
+    `late_doc`, `late_hot` and `late_times`, how often a spread context backs off in a document.  And a row without a block for each
+    bucket: of each spread context, `hot`, the unigram probability of the words seen after it here."""
 
     def run(rows: pa.Table, counted: pa.Table) -> pa.Table:
-        names = ["row", "hot", "base", "known", "score", "times", "seen"]
-        kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
-        parts: list[list] = []
-
-        def add(**columns: np.ndarray) -> None:
-            n = len(next(iter(columns.values())))
-            parts.append([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)])
+        parts: list[dict] = []
 
         if rows.num_rows:
             found = Bucket(rows)
@@ -362,27 +365,47 @@ def bucket_scores(packed: DataFrame, known: DataFrame, unigrams: Unigrams, ratio
             score = np.where(seen, np.log10(np.where(seen, held, 1.0) / mass[here]), backoff[here] + np.log10(alone[found.two]))
             base, is_known = np.log10(counts[found.two] + 1.0), counts[found.two] > 0
             late = np.where(seen, -1, at[here])
-            if spread.any():
-                add(hot=at[spread], seen=seen_alone[spread])
+            parts.append({"hot": at[spread], "seen": seen_alone[spread]})
             low = 0
             for block, in_docs, doc, times, n_docs in found.blocks:
                 pair = np.repeat(found.inverse[low : low + len(in_docs)], in_docs)
                 low += len(in_docs)
                 times = times.astype("i8")
-                sums = [np.bincount(doc, times * v[pair], n_docs) for v in (base, is_known, score)]
                 some = np.flatnonzero(np.bincount(doc, minlength=n_docs))
-                add(row=block + some, base=sums[0][some], known=sums[1][some].astype("i8"), score=sums[2][some])
-                if (waits := late[pair] >= 0).any():
-                    both, where = np.unique(doc[waits].astype("i8") * len(hot) + late[pair][waits], return_inverse=True)
-                    add(row=block + both // len(hot), hot=both % len(hot), times=np.bincount(where, times[waits]).astype("i8"))
-        columns = [pa.chunked_array([p[i] for p in parts], k) for i, k in enumerate(kinds)]
-        return pa.Table.from_arrays(columns, names=names)
-
-    shape = "row long, hot int, base double, known long, score double, times long, seen double"
+                sums = [np.bincount(doc, times * v[pair], n_docs)[some] for v in (base, is_known, score)]
+                waits = late[pair] >= 0
+                both, where = np.unique(doc[waits].astype("i8") * max(len(hot), 1) + late[pair][waits], return_inverse=True)
+                late_doc, late_hot = np.divmod(both, max(len(hot), 1))
+                late_times = np.bincount(where, times[waits], len(both))
+                parts.append({"block": block, "doc": some, "base": sums[0], "known": sums[1], "score": sums[2], "late_doc": late_doc, "late_hot": late_hot, "late_times": late_times})
+        columns = [pa.array([p.get("block") for p in parts], pa.int64())]
+        columns += [pa.array([None if n not in p else p[n].astype(k.to_pandas_dtype()) for p in parts], pa.list_(k)) for n, k in PART_ARRAYS.items()]
+        return pa.Table.from_arrays(columns, names=["block", *PART_ARRAYS])
+
+    shape = "block long, " + ", ".join(f"{n} array<{ {'int32': 'int', 'int64': 'long', 'double': 'double'}[str(k)]}>" for n, k in PART_ARRAYS.items())
     grouped = packed.where("bucket >= 0").groupBy("bucket").cogroup(known.groupBy("bucket"))
     return grouped.applyInArrow(run, shape)
 
 
+def _added_up(rows: DataFrame, log_left: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, base, score) of the documents of each block."""
+
+    def run(block: pa.Table) -> pa.Table:
+        columns = {name: block.column(name) for name in block.column_names}
+        own = next(i for i in range(block.num_rows) if columns["ids"][i].is_valid)
+        ids, held, tokens = (columns[c][own].values for c in ("ids", "held", "tokens"))
+        sums = np.zeros((3, len(ids)))
+        for i in range(block.num_rows):
+            if i != own:
+                doc, base, known, score, late_doc, late_hot, late_times = (columns[c][i].values.to_numpy() for c in list(PART_ARRAYS)[:7])
+                sums[:, doc] += (base, known, score)
+                np.subtract.at(sums[2], late_doc, late_times * log_left[late_hot])
+        arrays = [ids, held, tokens, pa.array(np.rint(sums[1]).astype("i8")), pa.array(sums[0]), pa.array(sums[2])]
+        return pa.Table.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+
+    return rows.groupBy("block").applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
+
+
 def katz_scores(rows: DataFrame, hot_share: int = HOT_SHARE, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
     """Scores of `rows` (doc_id, text, held_out), which has no nulls in held_out: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
@@ -415,14 +438,12 @@ def katz_scores(rows: DataFrame, hot_share: int = HOT_SHARE, bucket_tokens: int
     parts = stored(bucket_scores(packed, known, unigrams, ratios, hot, hot_tokens, hot_kept))
 
     # At most hot_share + 1 rows: what the words seen after a spread context leave of the unigrams.
-    seen = parts.where("row is null").groupBy("hot").agg(F.sum("seen").alias("seen")).collect()
-    left = spark.createDataFrame([(r["hot"], float(np.log10(1 - r["seen"]))) for r in seen], "hot int, log_left double")
-    late = parts.where("row is not null and hot is not null").join(left, "hot").select("row", (-F.col("times") * F.col("log_left")).alias("score"))
-    documents = packed.where("bucket < 0").select("block", F.posexplode(F.arrays_zip("ids", "held", "tokens")).alias("i", "d"))
-    documents = documents.select((F.col("block") + F.col("i")).alias("row"), F.col("d.ids").alias("doc_id"), F.col("d.held").alias("held_out"), F.col("d.tokens").alias("n_tokens"))
-    sums = parts.where("row is not null and hot is null").select("row", "base", "known", "score")
-    rows_in = documents.unionByName(sums, allowMissingColumns=True).unionByName(late, allowMissingColumns=True)
-    found = rows_in.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
+    seen = parts.where("block is null").select(F.explode(F.arrays_zip("hot", "seen")).alias("h")).groupBy("h.hot").agg(F.sum("h.seen").alias("seen")).collect()
+    log_left = np.zeros(len(hot))
+    for r in seen:
+        log_left[r["hot"]] = np.log10(1 - r["seen"])
+    rows_in = packed.where("bucket < 0").select("block", "ids", "held", "tokens").unionByName(parts.where("block is not null").drop("hot", "seen"), allowMissingColumns=True)
+    found = _added_up(rows_in, log_left)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known",
         F.lit(n_tokens).cast("long").alias("train_tokens"),
