@@ -144,7 +144,8 @@ class Keys:
 
     def of(self, words: Iterable[bytes]) -> np.ndarray:
         salt, mask, mark, ranks = self.salt.encode(), (1 << self.bits) - 1, 1 << self.bits, self.ranks
-        return np.array([ranks[w] if w in ranks else xxhash.xxh64_intdigest(salt + w, 42) & mask | mark for w in words], "u8")
+        rank, digest = ranks.get, xxhash.xxh64_intdigest
+        return np.array([digest(salt + w, 42) & mask | mark if (found := rank(w)) is None else found for w in words], "u8")
 
     @staticmethod
     def apart(words: DataFrame) -> tuple[Keys, DataFrame]:
@@ -192,10 +193,10 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def block_rows(held: list[str], out: list[bool], word_keys: Keys, hot: np.ndarray, buckets: int) -> Iterator[tuple[int, list[int], int, bytes]]:
+def block_rows(held: list[str], out: list[bool], word_keys: Keys, hot: np.ndarray, buckets: int, tokens: list[int]) -> Iterator[tuple[int, list[int], int, bytes]]:
     """For each bucket with a bigram of these texts: its number and, packed, the keys of its words, both words of each bigram
     as places among these, the number of its documents, these documents, the times it occurs in each, and the training documents
-    of the block as 0 or 1."""
+    of the block as 0 or 1.  `tokens` gets the number of each text's tokens."""
     index: defaultdict[bytes, int] = defaultdict()
     index.default_factory = index.__len__
     lengths, flat = np.empty(len(held), "i4"), []
@@ -203,6 +204,7 @@ def block_rows(held: list[str], out: list[bool], word_keys: Keys, hot: np.ndarra
         words = words_of(text)
         lengths[i] = len(words) + 1
         flat.append(np.fromiter(map(index.__getitem__, itertools.chain((START,), words, (END,))), "i4", len(words) + 2))
+    tokens += lengths.tolist()
     # Numbered by key, so that sorted bigrams are sorted by the keys of their words.
     keys = word_keys.of(index)
     by_key = np.argsort(keys)
@@ -236,8 +238,12 @@ def block_rows(held: list[str], out: list[bool], word_keys: Keys, hot: np.ndarra
         mine = by_bucket[bounds[b] : bounds[b + 1]]
         if len(mine):
             entries = _runs(head[mine], in_docs[mine])
-            used, place = np.unique(np.concatenate([one[mine], two[mine]]), return_inverse=True)
-            yield b, *pack([keys[used], *(a.astype("u4") for a in (place[: len(mine)], place[len(mine) :], in_docs[mine], doc[entries], times[entries])), trained])
+            left, right = one[mine], two[mine]
+            # Words are numbered by key, so marking the used ones sorts them.
+            used = np.zeros(n_words, bool)
+            used[left] = used[right] = True
+            place = np.cumsum(used, dtype="u4") - np.uint32(1)
+            yield b, *pack([keys[used], place[left], place[right], *(a.astype("u4") for a in (in_docs[mine], doc[entries], times[entries])), trained])
 
 
 def packed_bigrams(rows: DataFrame, word_keys: Keys, hot: list[int], buckets: int) -> DataFrame:
@@ -253,8 +259,8 @@ def packed_bigrams(rows: DataFrame, word_keys: Keys, hot: list[int], buckets: in
         for number, (batch, held) in enumerate(_blocks(batches)):
             # A block's first row number: blocks of a task and rows of a block have 20 bits each.
             block, out = (task << 40) | (number << 20), batch.column(2).to_pylist()
-            tokens = [len(words_of(t)) + 1 for t in held]
-            found = [(b, block, sizes, raw, packed, None, None, None) for b, sizes, raw, packed in block_rows(held, out, word_keys, hot_keys, buckets)]
+            tokens: list[int] = []
+            found = [(b, block, sizes, raw, packed, None, None, None) for b, sizes, raw, packed in block_rows(held, out, word_keys, hot_keys, buckets, tokens)]
             found.append((-1 - (task + number) % buckets, block, None, None, None, batch.column(0).to_pylist(), out, tokens))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
             pa.default_memory_pool().release_unused()
