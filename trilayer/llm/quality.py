@@ -2,7 +2,9 @@
 share of content words decides whether the document stays.
 
 The field is trained here, on the lines of a bounded sample of labelled documents: lines of good documents are content,
-lines of bad ones boilerplate.  Decoding is Viterbi's, over all lines of every whole text.
+lines of bad ones boilerplate.  Labels are of whole documents, so stretches of good and bad ones are composed into
+sequences in which the state changes; transitions are learnt from those.  Decoding is Viterbi's, over all lines of every
+whole text.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ SAMPLE_DOCUMENTS, SAMPLE_CHARS = 600, 10_000
 #: Share of words in content lines from which a document stays.
 CONTENT_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-STEPS, RATE, PENALTY = 80, 0.5, 1e-3
-FEATURES = ("bias", "words", "word length", "symbols", "capitals", "digits", "exclamations", "repeated", "sentence end", "short")
+STEPS, RATE, PENALTY = 400, 0.5, 1e-3
+#: Training sequences: lines of the longest stretch in one state, and lines from which a sequence is full.
+STRETCH, SEQUENCE = 8, 64
+FEATURES = ("bias", "words", "word length", "symbols", "capitals", "digits", "exclamations", "repeated", "sentence end", "short", "same words")
 
 
 @dataclass(frozen=True)
@@ -39,7 +43,7 @@ class LineField:
 
 #: Where there are no labels of both kinds: symbols, capitals, exclamation marks and repeated lines speak for boilerplate.
 UNTRAINED = LineField(
-    np.array([-2.0, 0.0, 0.0, 20.0, 6.0, 4.0, 20.0, 3.0, -0.5, 0.5]), np.array([[0.5, -0.5], [-0.5, 0.5]])
+    np.array([-2.0, 0.0, 0.0, 20.0, 6.0, 4.0, 20.0, 3.0, -0.5, 0.5, 4.0]), np.array([[0.5, -0.5], [-0.5, 0.5]])
 )
 
 
@@ -64,6 +68,7 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
                 float(line in seen),
                 float(line.rstrip()[-1:] in ".!?:;"),
                 float(n < 4),
+                1 - len(set(words)) / n,
             )
         )
         sizes.append(n)
@@ -88,38 +93,73 @@ def viterbi(features: np.ndarray, field: LineField) -> np.ndarray:
     return np.array(states[::-1], dtype=bool)
 
 
+def composed(lines: list[np.ndarray], bad: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sequences of lines and their states, every given line once.
+
+    Texts are cut to stretches of 1 to `STRETCH` lines; those of either state, in random order, are spread evenly over the
+    whole, which is cut after the stretch that makes a sequence `SEQUENCE` lines long.  The same input gives the same.
+    """
+    random = np.random.default_rng(0)
+    dealt = []
+    for state in (0, 1):
+        stretches = []
+        for rows in (rows for rows, kind in zip(lines, bad) if kind == state):
+            at = 0
+            while at < len(rows):
+                end = at + int(random.integers(1, STRETCH + 1))
+                stretches.append(rows[at:end])
+                at = end
+        order = random.permutation(len(stretches))
+        dealt += [((place + 0.5) / len(order), state, stretches[i]) for place, i in enumerate(order)]
+    dealt.sort(key=lambda item: item[:2])
+    sequences, open_rows, open_states = [], [], []
+    for i, (_, state, rows) in enumerate(dealt):
+        open_rows.append(rows)
+        open_states += [state] * len(rows)
+        if len(open_states) >= SEQUENCE or i == len(dealt) - 1:
+            sequences.append((np.concatenate(open_rows), np.array(open_states)))
+            open_rows, open_states = [], []
+    return sequences
+
+
+def expected(x: np.ndarray, there: np.ndarray, field: LineField) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward and backward sums over texts padded to the longest: per text the log of the sum over all paths, per line
+    the probability of boilerplate, and the expected number of steps from state to state."""
+    n, longest = there.shape
+    step, pairs = field.step, there[:, 1:]
+    emit = np.stack([np.zeros((n, longest)), x @ field.state], axis=2)
+    ahead, back = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    ahead[:, 0] = emit[:, 0]
+    for t in range(1, longest):
+        inner = np.logaddexp(ahead[:, t - 1, 0, None] + step[0], ahead[:, t - 1, 1, None] + step[1]) + emit[:, t]
+        ahead[:, t] = np.where(there[:, t, None], inner, ahead[:, t - 1])
+    for t in range(longest - 2, -1, -1):
+        after = emit[:, t + 1] + back[:, t + 1]
+        inner = np.logaddexp(step[:, 0] + after[:, 0, None], step[:, 1] + after[:, 1, None])
+        back[:, t] = np.where(there[:, t + 1, None], inner, 0.0)
+    whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+    likely = np.exp(ahead[:, :, 1] + back[:, :, 1] - whole[:, None]) * there
+    joint = ahead[:, :-1, :, None] + step + (emit + back)[:, 1:, None, :] - whole[:, None, None, None]
+    return whole, likely, (np.exp(np.minimum(joint, 0)) * pairs[:, :, None, None]).sum(axis=(0, 1))
+
+
 def fit(lines: list[np.ndarray], bad: list[int]) -> LineField:
-    """Penalised maximum likelihood by gradient steps, all texts at once, padded to the longest."""
+    """Penalised maximum likelihood by gradient steps on the composed sequences, all at once."""
     if len(set(bad)) < 2:
         return UNTRAINED
-    n, longest = len(lines), max(map(len, lines))
+    sequences = composed(lines, bad)
+    n, longest = len(sequences), max(len(states) for _, states in sequences)
     x = np.zeros((n, longest, len(FEATURES)))
-    there = np.zeros((n, longest), dtype=bool)
-    for i, rows in enumerate(lines):
-        x[i, : len(rows)] = rows
-        there[i, : len(rows)] = True
-    y = np.repeat(np.array(bad)[:, None], longest, axis=1)
-    total = there.sum()
+    there, y = np.zeros((n, longest), dtype=bool), np.zeros((n, longest), dtype="int64")
+    for i, (rows, states) in enumerate(sequences):
+        x[i, : len(rows)], there[i, : len(rows)], y[i, : len(rows)] = rows, True, states
+    total, pairs = there.sum(), there[:, 1:]
     state, step = np.zeros(len(FEATURES)), np.zeros((2, 2))
     speed_state, speed_step = np.zeros_like(state), np.zeros_like(step)
-    pairs = there[:, 1:]
     seen_step = np.array([[(pairs & (y[:, 1:] == b) & (y[:, :-1] == a)).sum() for b in (0, 1)] for a in (0, 1)])
     seen_state = np.einsum("nlf,nl->f", x, there * y)
     for _ in range(STEPS):
-        emit = np.stack([np.zeros((n, longest)), x @ state], axis=2)
-        ahead, back = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = emit[:, 0]
-        for t in range(1, longest):
-            inner = np.logaddexp(ahead[:, t - 1, 0, None] + step[0], ahead[:, t - 1, 1, None] + step[1]) + emit[:, t]
-            ahead[:, t] = np.where(there[:, t, None], inner, ahead[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            after = emit[:, t + 1] + back[:, t + 1]
-            inner = np.logaddexp(step[:, 0] + after[:, 0, None], step[:, 1] + after[:, 1, None])
-            back[:, t] = np.where(there[:, t + 1, None], inner, 0.0)
-        whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        likely = np.exp(ahead[:, :, 1] + back[:, :, 1] - whole[:, None]) * there
-        joint = ahead[:, :-1, :, None] + step + (emit + back)[:, 1:, None, :] - whole[:, None, None, None]
-        likely_step = (np.exp(np.minimum(joint, 0)) * pairs[:, :, None, None]).sum(axis=(0, 1))
+        _, likely, likely_step = expected(x, there, LineField(state, step))
         speed_state = 0.9 * speed_state + RATE * ((seen_state - np.einsum("nlf,nl->f", x, likely)) / total - PENALTY * state)
         speed_step = 0.9 * speed_step + RATE * ((seen_step - likely_step) / total - PENALTY * step)
         state, step = state + speed_state, step + speed_step
