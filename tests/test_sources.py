@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from trilayer.sources import reference_data, tables
 from trilayer.sources.calendar import calendar_days
 from trilayer.sources.existing import existing_paths
 from trilayer.sources.measurements import STATIONS, damaged_files, listed_stations, scan_measurements
-from trilayer.sources.trips import scan_trips, trip_paths
+from trilayer.sources.trips import read_schemas, scan_trips, trip_paths
 from trilayer.sources.weather import scan_weather
 
 HEADER = "location_id,sensors_id,location,datetime,lat,lon,parameter,units,value\n"
@@ -164,6 +167,28 @@ def test_trips_with_drift_absent_and_broken_files(spark, tmp_path):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
 
 
+def test_trips_of_ten_thousand_files(spark, tmp_path, monkeypatch):
+    """The driver reads one footer for each distinct form, whatever the number of files."""
+    kinds = [pa.schema([("a", pa.int64())]), pa.schema([("a", pa.int32())]), pa.schema([("a", pa.int64()), ("Airport_fee", pa.float64())])]
+    samples = []
+    for kind in kinds:
+        buffer = io.BytesIO()
+        pq.write_table(pa.Table.from_pylist([{"a": 1, "Airport_fee": 0.5}], schema=kind), buffer)
+        samples.append(buffer.getvalue())
+    for i in range(10_000):
+        (tmp_path / f"part-{i:05}.parquet").write_bytes(samples[i % 3])
+    (tmp_path / "notes.parquet").write_bytes(b"no table")
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    calls = []
+    read = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths, **options: calls.append(len(paths)) or read(self, *paths, **options))
+    groups, skipped = read_schemas(spark, [str(tmp_path), str(tmp_path / "absent")])
+    assert sorted(len(files) for _, files in groups) == [3333, 3333, 3334] and len(calls) == 3
+    assert len(skipped) == 2 and skipped[str(tmp_path / "absent")] == "no such path"
+    found = scan_trips(spark, [str(tmp_path)])
+    assert found.agg(F.count("*"), F.sum("a"), F.sum("airport_fee")).first() == (10_000, 10_000, 3333 * 0.5)
+
+
 def test_trips_without_any_file(spark, tmp_path):
     with pytest.raises(ValueError):
         scan_trips(spark, [str(tmp_path / "none.parquet")])
