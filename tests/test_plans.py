@@ -6,7 +6,13 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from trilayer.plans import gold, reports, silver
+import workload.stored  # noqa: F401
+from trilayer.plans import gold, layers, reports, silver
+from trilayer.schemas import MEASUREMENT_FILE, WAREHOUSE
+from trilayer.sources.measurements import scan_measurements
+from trilayer.sources.reference_data import scan_fx, scan_gdp, scan_zones
+from trilayer.sources.tables import model_tables
+from trilayer.sources.trips import scan_trips
 from workload import views
 from workload.catalog import QUERIES, trip_fact, weather
 
@@ -93,3 +99,37 @@ def test_days_without_a_rate_keep_their_trips(spark):
 def test_weather_stays_in_the_jvm_and_one_stage(spark):
     plan = plan_of(weather(spark, SF_DIR))
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_layers_from_raw_files(spark, tmp_path):
+    """Raw files to nine warehouse tables; a rerun changes nothing, and later layers read only stored tables."""
+    for i, part in enumerate(views.trip_parts(spark, SF_DIR)):
+        part.write.parquet(str(tmp_path / f"trips{i}"))
+    views.measurements(spark, SF_DIR).select(*MEASUREMENT_FILE.names).write.csv(str(tmp_path / "records"), header=True, compression="gzip")
+    views.fx_text(spark, SF_DIR).write.csv(str(tmp_path / "fx"), header=True, escape='"')
+    views.gdp_docs(spark, SF_DIR).select("page", "doc").write.partitionBy("page").text(str(tmp_path / "gdp"))
+    views.zones(spark, SF_DIR).write.csv(str(tmp_path / "zones"), header=True)
+
+    def run():
+        raw = layers.RawInputs(
+            scan_trips(spark, [str(tmp_path / f"trips{i}") for i in range(4)]),
+            scan_measurements(spark, [str(tmp_path / "records")], base=str(tmp_path)),
+            scan_fx(spark, [str(tmp_path / "fx")]),
+            scan_gdp(spark, [str(tmp_path / "gdp")]),
+            scan_zones(spark, [str(tmp_path / "zones")]),
+        )
+        return layers.run_layers(spark, raw, "raw_")
+
+    def content():
+        return {name: sorted(map(repr, table.collect())) for name, table in model_tables(spark, "raw_warehouse").items()}
+
+    first = run()
+    tables = content()
+    assert set(tables) == set(WAREHOUSE) and all(tables.values())
+    assert {name: len(rows) for name, rows in tables.items()} == {name: first[f"warehouse.{name}"] for name in WAREHOUSE}
+    assert run() == first and content() == tables
+    # The files may go once bronze is written: nothing later reads them, but for the zones.
+    trips = silver.silver_trips(spark.read.table("raw_bronze.nyc_trips"))
+    assert trips.count() == first["silver.nyc_trips"]
+    assert sum(r["trip_count"] for r in spark.read.table("raw_warehouse.facttaxidaily").collect()) == first["silver.nyc_trips"]
+    assert {c.name for c in spark.catalog.listColumns("raw_silver.air_quality") if c.isPartition} == {"parameter"}

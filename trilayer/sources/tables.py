@@ -12,9 +12,9 @@ from trilayer.schemas import WAREHOUSE
 LAYERS = ["bronze", "silver", "gold", "warehouse"]
 
 
-def create_layers(spark: SparkSession) -> None:
+def create_layers(spark: SparkSession, prefix: str = "") -> None:
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:

@@ -547,4 +547,28 @@ ORACLES: dict[str, str] = {
         from results""",
     "warehouse_conform": f"with {AIR_FACT} select * from air_fact",
     "warehouse_append_twice": f"with {TRIP_FACT} select * from trip_fact union all select * from trip_fact",
+    "measurement_scan": f"""with {AIR} select * replace (cast(location_id % 8 as int) as source_file) from air_bronze""",
+    "zone_scan": f"""with {ZONES} select * replace ("Zone" || ', "' || service_zone || '" \\' || "LocationID" as "Zone") from zones""",
+    "fx_scan": f"with {FX} select * from fx_bronze",
+    "gdp_scan": f"with {GDP} select * from gdp_bronze",
+    "table_overwrite": f"with {AIR_FACT} select *, (select count(*) from air_fact) as written from air_fact",
+    "table_partitioned": f"with {AIR_FACT} select *, 'parameter=' || parameter as folder from air_fact",
+    "table_recreated": f"with {AIR_FACT} select * from air_fact where measurement_count >= 2",
+    "table_mapped": f"""with {ZONES} select "LocationID" as zone_key, "Zone" as zone_name from zones""",
+    "table_appended_twice": f"with {TRIP_FACT} select * from trip_fact union all select * from trip_fact",
+    "warehouse_copied_twice": f"""with {AIR_FACT}, {TRIPS}, {CALENDAR}, {ZONES}, {FX}, {GDP},
+        counts as (
+          select 'dimdate' as "name", count(*) as n from calendar
+          union all select 'dimfx', count(*) from fx
+          union all select 'dimgdp', count(*) from gdp
+          union all select 'dimzone', count(*) from zones
+          union all select 'factairqualitydaily', count(*) from air_fact)
+        select "name", n as "first", n as "second", 2 * n as "rows" from counts""",
+    "layers_run": f"""with {TRIP_SILVER}, {ZONES}
+        select cast(year(pickup_datetime) as int) as "year", cast(month(pickup_datetime) as int) as "month", "Borough" as borough,
+               cast(count(*) as bigint) as trip_count
+        from trip_silver join zones on cast("PULocationID" as varchar) = "LocationID"
+        where cast(pickup_datetime as date) between {PERIOD} and month(tpep_pickup_datetime) not between 5 and 8
+        group by 1, 2, 3""",
 }
+ORACLES["trip_scan"] = ORACLES["schema_drift_union"]
