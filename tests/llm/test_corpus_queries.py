@@ -14,6 +14,7 @@ import regex
 import xxhash
 from compare import TABLES, connect, differences
 from corpus_fixtures import docs, items, nothing, ordered, rows  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -23,7 +24,7 @@ from trilayer.llm.components import connected_components
 from trilayer.llm.decontaminate import clean_documents, find_contamination
 from trilayer.llm.edit_counts import PRE_TOKEN, CountTree, Edit, added_tokens, edited_token_counts, edited_trees, planned_edits, pre_token_counts
 from trilayer.llm.licenses import BASE, Notice, license_scan, scan
-from trilayer.llm.line_dedup import dedup_lines, line_digest
+from trilayer.llm.line_dedup import LineRuns, dedup_lines, line_digest
 from trilayer.llm.oracles import ORACLES
 from trilayer.llm.packing import Packs, pack_documents, packing_digest, sequences
 from trilayer.llm.pii import find_personal_data, personal_data_digest
@@ -302,6 +303,28 @@ def test_lines(docs, rows, ordered, batches, fan_out):
     assert ordered(found, "doc_id", "n_lines", "n_dropped", "kept_sha256") == sorted(((i, a, b, hashlib.sha256(t.encode()).hexdigest()) for i, a, b, t in wanted), key=str)
 
 
+def test_runs_are_reopened_for_a_later_batch(spark, tmp_path):
+    """Smaller and larger ids in any order of batches, each by runs that were opened anew, as one call over all."""
+    docs = documents(spark, SF_DIR)
+    wanted = sorted(map(tuple, line_digest(docs).collect()))
+    assert sum(row[2] for row in wanted) > 100
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    batches = [docs.where(F.col("doc_id") <= middle), docs.where((F.col("doc_id") > middle) & (F.col("doc_id") % 2 == 0)), docs.where((F.col("doc_id") > middle) & (F.col("doc_id") % 2 == 1))]
+    folder = str(tmp_path / "runs")
+    runs = LineRuns(spark, fan_out=2, folder=folder)
+    for batch in batches:
+        line_digest(batch, batches=2, runs=runs)
+        runs = LineRuns.load(spark, folder, fan_out=2)
+    # Six batches, two to a compaction: one run of four batches, one of two.
+    assert [len(level) for level in runs.levels] == [0, 1, 1]
+    again = [line_digest(batch, runs=LineRuns.load(spark, folder), added=True) for batch in batches]
+    assert sorted(tuple(row) for found in again for row in found.collect()) == wanted
+    # A run that no list names does not count.
+    spark.range(3).write.parquet(f"{folder}/line_run_cut_off")
+    assert LineRuns.load(spark, folder).totals().count() == runs.totals().count()
+    assert all("Exchange" not in run.groupBy("high").count()._jdf.queryExecution().toString() for run in runs.all())
+
+
 def test_lines_leave_the_other_columns(docs, rows):
     kept = dedup_lines(docs)
     assert kept.schema == docs.schema

@@ -1,9 +1,10 @@
 """Line de-duplication with levelled sorted runs of line hashes.
 
-Documents come in batches, the largest ids first.  A batch's line hashes are anti-joined with the runs stored so far: what
-no run holds is new, and its owner is the batch's largest document with that line.  Then the batch adds its own run: new
-hashes with owner, known ones with their document count only.  When a level holds `fan_out` runs, they are compacted into
-one run of the next level.  Runs are bucketed and sorted by hash, so a merge reads them without a shuffle.
+Documents come in batches, in any order.  A batch's line hashes are anti-joined with the runs stored so far: what no run
+holds is new, and its owner is the batch's largest document with that line.  Then the batch adds its own run: new hashes
+with owner, known ones with their document count and an owner only where it is larger than the runs' own.  When a level
+holds `fan_out` runs, they are compacted into one run of the next level.  Runs are bucketed and sorted by hash, so the
+anti-join reads them without a shuffle.  Runs and a list of them by level lie in one folder, from which a later job goes on.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from trilayer.llm.common import SPACE, arrow_pass, free_name, id_and_text, same,
 
 KEY = ["high", "low"]
 RUN = "high long, low long, n_docs long, owner long"
+LISTED = "version long, place long, level long, run string, buckets long"
 
 
 def line_key(line: str) -> str:
@@ -62,51 +64,86 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 class LineRuns:
-    """The runs, by level.  A run has one row per hash: the documents of its batches that hold the line and, from the
-    batch that met the line first, the owner."""
+    """The runs, by level.  A run has one row per hash: the documents of its batches that hold the line, and the largest of
+    them or null, where an earlier run has one as large.
 
-    def __init__(self, spark: SparkSession, fan_out: int = 4):
+    They live in `folder`, a new one under the shared folder unless given.  Each change writes the next version of the list
+    of runs; what no list names, as after a job that was cut off, does not count, and its batch can be added again.
+    """
+
+    def __init__(self, spark: SparkSession, fan_out: int = 4, folder: str | None = None):
         self.spark = spark
         self.fan_out = fan_out
+        self.folder = folder or shared_folder(spark)
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[DataFrame]] = [[]]
-
-    def _written(self, rows: DataFrame) -> DataFrame:
-        """The rows as a bucketed sorted table.  Its catalog entry goes at once, the files stay with the shared folder."""
-        name, folder = f"line_run_{uuid.uuid4().hex}", shared_folder(self.spark)
+        self.version = 0
+        #: Per level, the runs as (name, buckets).
+        self.levels: list[list[tuple[str, int]]] = [[]]
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, fan_out: int = 4) -> LineRuns:
+        """The runs of a folder as its last list has them, to be gone on with."""
+        runs = cls(spark, fan_out, folder)
+        rows = spark.read.schema(LISTED).json(f"{folder}/list-*").collect()
+        runs.version = max(row["version"] for row in rows)
+        for row in sorted(rows, key=lambda row: row["place"]):
+            if row["version"] == runs.version:
+                runs.levels += [[] for _ in range(row["level"] + 1 - len(runs.levels))]
+                runs.levels[row["level"]].append((row["run"], row["buckets"]))
+        runs.buckets = next(buckets for level in runs.levels for _, buckets in level)
+        return runs
+
+    def _list(self) -> None:
+        self.version += 1
+        runs = [(level, run, buckets) for level, runs in enumerate(self.levels) for run, buckets in runs]
+        rows = [(self.version, place, *run) for place, run in enumerate(runs)]
+        self.spark.createDataFrame(rows, LISTED).coalesce(1).write.json(f"{self.folder}/list-{self.version:06}")
+
+    def _written(self, rows: DataFrame) -> tuple[str, int]:
+        """The rows as a bucketed sorted table.  Its catalog entry goes at once, the files stay with the folder."""
+        run = f"line_run_{uuid.uuid4().hex}"
         tidy = rows.select(*KEY, "n_docs", "owner").repartition(self.buckets, "high")
-        tidy.write.bucketBy(self.buckets, "high").sortBy(*KEY).option("path", folder).format("parquet").saveAsTable(name)
-        run = self.spark.table(name)
-        self.spark.sql(f"drop table {name}")
-        return run
-
-    def _compacted(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
+        tidy.write.bucketBy(self.buckets, "high").sortBy(*KEY).option("path", f"{self.folder}/{run}").format("parquet").saveAsTable(run)
+        self.spark.sql(f"drop table {run}")
+        return run, self.buckets
+
+    def _opened(self, run: str, buckets: int) -> DataFrame:
+        self.spark.sql(
+            f"create table {run} ({RUN}) using parquet clustered by (high) sorted by ({', '.join(KEY)}) into {buckets} buckets location '{self.folder}/{run}'"
+        )
+        rows = self.spark.table(run)
+        self.spark.sql(f"drop table {run}")
+        return rows
+
+    def _compacted(self, runs: list[tuple[str, int]]) -> DataFrame:
+        # Read as plain files: of a union of bucketed scans, Spark 4.1 takes the buckets for its partitions, leaves the
+        # exchange out and keeps equal hashes of different runs apart.
+        rows = self.spark.read.schema(RUN).parquet(*(f"{self.folder}/{run}" for run, _ in runs))
         return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"))
 
     def add(self, hashes: DataFrame) -> None:
-        """Merge a batch: rows (doc_id, hash) with ids below those of every earlier batch, or null."""
+        """Merge a batch: rows (doc_id, hash), one for each document and line.  Batches may come in any order of ids."""
         rows = hashes.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("owner"))
-        # An anti-join that keeps its other half too: what a run holds already loses the owner, what none holds is new.
+        # An anti-join that keeps its other half too: what no run holds is new, what one holds keeps an owner that is larger.
         for run in self.all():
-            marked = rows.join(run.select(*KEY, F.lit(True).alias("held")), KEY, "left")
-            rows = marked.withColumn("owner", F.when(F.col("held").isNull(), F.col("owner"))).drop("held")
+            marked = rows.join(run.select(*KEY, F.col("owner").alias("held")), KEY, "left")
+            rows = marked.withColumn("owner", F.when(F.col("held") >= F.col("owner"), None).otherwise(F.col("owner"))).drop("held")
         self.levels[0].append(self._written(rows))
-        for level, runs in enumerate(self.levels):
-            if len(runs) == self.fan_out:
-                if level + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[level + 1].append(self._written(self._compacted(runs)))
-                self.levels[level] = []
+        level = 0
+        while len(self.levels[level]) >= self.fan_out:
+            if level + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[level + 1].append(self._written(self._compacted(self.levels[level])))
+            self.levels[level] = []
+            level += 1
+        self._list()
 
     def all(self) -> list[DataFrame]:
-        return [run for runs in self.levels for run in runs]
+        return [self._opened(*run) for runs in self.levels for run in runs]
 
     def totals(self) -> DataFrame:
         """One run over everything."""
-        runs = self.all()
+        runs = [run for level in self.levels for run in level]
         return self._compacted(runs) if runs else self.spark.createDataFrame([], RUN)
 
 
@@ -121,11 +158,17 @@ def _batched(hashes: DataFrame, docs: DataFrame, batches: int) -> DataFrame:
     return hashes.withColumn("batch", batch)
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fan_out: int = 4) -> DataFrame:
-    """For each document that loses lines: doc_id, text_hash and `numbers`, the dropped keys by number in the text."""
+def dropped_lines(
+    docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fan_out: int = 4, runs: LineRuns | None = None, added: bool = False
+) -> DataFrame:
+    """For each document that loses lines: doc_id, text_hash and `numbers`, the dropped keys by number in the text.
+
+    With `runs`, documents and owners count that were added to them before, by this or an earlier job; the documents are
+    added to them too, unless they have been (`added`), as when earlier ones are judged anew after a later batch.
+    """
     hashes = stored(_batched(line_hashes(docs, min_chars), docs, batches), ["batch"])
-    runs = LineRuns(docs.sparkSession, fan_out)
-    for batch in range(batches):
+    runs = runs or LineRuns(docs.sparkSession, fan_out)
+    for batch in range(0 if added else batches):
         runs.add(hashes.where(F.col("batch") == batch))
     # Written first: then both sides of the join come from plain exchanges, and a line of a third of all documents is
     # split by the adaptive skew join.
