@@ -1,13 +1,15 @@
-"""Exact repeated passages: suffixes ordered through `WINDOW` bytes only, in passes from the most significant digit on.
+"""Exact repeated passages: windows of `WINDOW` bytes that occur twice or more, found in three passes over groups.
 
-Every window of 200 bytes is the start of a suffix; those equal through 200 bytes are the repeated passages.  The passes:
+Every window of 200 bytes is the start of a suffix; those equal through 200 bytes are the repeated passages.  No suffix is
+sorted here: groups are refined by hashes of longer and longer pieces, singletons leave after each pass, and equality is
+that of 64-bit hashes.  The passes:
 
 1. The first digit is a piece of 50 bytes.  Which of its pieces stands first in a window's order is decided by its content
    (the piece that starts at the smallest hash among the window's first 151 places), so equal windows agree on it, and
    some 75 windows in a row share one: a row for each, its anchor, stands for them all.  Windows whose digit occurs once in
    all texts are done, they have no equal.
 2. The second digit is the whole stretch of text that an anchor's windows cover.  Equal stretches have all windows equal.
-3. Of a digit with several stretches, one of each is taken; their windows are ordered through all 200 bytes.
+3. Of a digit with several stretches, one of each is taken; their windows are grouped by a hash of all 200 bytes.
 
 Passes 1 and 2 are aggregations and joins of numbers.  Pass 3 sees only stretches at the ends of passages, a digit's group
 at a time; a group with more than `GROUP` stretches is dealt out by window instead.
