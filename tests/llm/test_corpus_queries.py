@@ -589,6 +589,24 @@ def test_repeated_passages_of_the_table(spark, ordered):
         assert ordered(without_repeats(docs, group), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == wanted
 
 
+@pytest.mark.parametrize("letters", [1, 2, 250])
+def test_radix_passes_compare_all_bytes(letters):
+    rng = np.random.default_rng(letters)
+    text = rng.integers(0, letters, 3000, dtype="u1")
+    text[1000:1400] = text[200:600]
+    text[2000:2199] = text[300:499]  # one byte short of a window
+    text[2199] = text[499] + 1
+    start = np.arange(len(text) - suffix_dedup.WINDOW + 1)
+    group = start % 2
+    seen = Counter((g, text[i : i + suffix_dedup.WINDOW].tobytes()) for i, g in zip(start.tolist(), group.tolist()))
+    wanted = [i for i, g in zip(start.tolist(), group.tolist()) if seen[g, text[i : i + suffix_dedup.WINDOW].tobytes()] > 1]
+    found = suffix_dedup._radix_passes(text, start, group)
+    assert sorted(found.tolist()) == wanted
+    in_order = [(i % 2, text[i : i + suffix_dedup.WINDOW].tobytes()) for i in found.tolist()]
+    assert in_order == sorted(in_order)
+    assert suffix_dedup._radix_passes(text[:0], start[:0], group[:0]).size == 0
+
+
 def test_anchors_across_chunks(monkeypatch):
     rng = np.random.default_rng(2)
     text = rng.integers(97, 100, 30_000, dtype="u1")

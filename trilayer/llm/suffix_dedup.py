@@ -1,18 +1,20 @@
-"""Exact repeated passages: windows of `WINDOW` bytes that occur twice or more, found in three passes over groups.
-
-Every window of 200 bytes is the start of a suffix; those equal through 200 bytes are the repeated passages.  No suffix is
-sorted here: groups are refined by hashes of longer and longer pieces, singletons leave after each pass, and equality is
-that of 64-bit hashes.  The passes:
-
-1. The first digit is a piece of 50 bytes.  Which of its pieces stands first in a window's order is decided by its content
-   (the piece that starts at the smallest hash among the window's first 151 places), so equal windows agree on it, and
-   some 75 windows in a row share one: a row for each, its anchor, stands for them all.  Windows whose digit occurs once in
-   all texts are done, they have no equal.
-2. The second digit is the whole stretch of text that an anchor's windows cover.  Equal stretches have all windows equal.
-3. Of a digit with several stretches, one of each is taken; their windows are grouped by a hash of all 200 bytes.
-
-Passes 1 and 2 are aggregations and joins of numbers.  Pass 3 sees only stretches at the ends of passages, a digit's group
-at a time; a group with more than `GROUP` stretches is dealt out by window instead.
+"""Exact repeated passages by a depth-limited radix sort: suffixes are ordered through `WINDOW` bytes only.
+
+Every window of 200 bytes is the start of a suffix; suffixes equal through 200 bytes are the repeated passages.  Groups of
+suffixes are split by one digit after another, and those that are alone in their group leave after each pass:
+
+1. The first digit deals the suffixes out.  It is a piece of 50 bytes and its place in the window; which of its pieces
+   stands first is decided by a window's content (the piece that starts at the smallest hash among the first 151 places),
+   so equal windows agree on it, and some 75 windows in a row share one: a row for each, its anchor, stands for them all.
+   Windows whose digit occurs once in all texts are done, they have no equal.
+2. Equal stretches, a stretch being all that an anchor's windows cover, have all windows equal and are not sorted: they are
+   found by two 64-bit hashes, of the digit and of the stretch.
+3. Of a digit with several stretches, one of each is taken.  Their windows go through most-significant-digit passes from the
+   first byte on, eight bytes a pass, until 200 are compared; the groups that are left are equal in all 200 bytes.
+
+Passes 1 and 2 are aggregations and joins of numbers.  Pass 3 sees only stretches at the ends of passages, in batches of
+whole digits of bounded size.  A digit with more than `GROUP` stretches is dealt out by window instead: windows that are
+alone under a hash of their bytes leave, those left are grouped by the 200 bytes themselves.
 """
 
 from __future__ import annotations
@@ -164,16 +166,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _LETTERS = np.random.default_rng(20).integers(1, 1 << 64, 256, dtype="u8")
 
 
-def _window_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all windows of the batch's stretches: row, number in the stretch, and a hash of (digit, place of the digit in
-    the window, all 200 bytes)."""
+def _windows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the batch's stretches: row, number in the stretch, first byte in `text`; and `text`, the stretches
+    laid end to end."""
     parts = batch.column(8).cast(pa.large_binary())
     bounds = np.frombuffer(parts.buffers()[1], dtype="i8")[parts.offset : parts.offset + len(parts) + 1]
     text = np.frombuffer(parts.buffers()[2], dtype="u1")[bounds[0] : bounds[-1]]
     windows = batch.column(4).to_numpy().astype("i8")
     row = np.repeat(np.arange(len(windows)), windows)
     number = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    start = (bounds[:-1] - bounds[0])[row] + number
+    return row, number, (bounds[:-1] - bounds[0])[row] + number, text
+
+
+def _window_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all windows of the batch's stretches: row, number in the stretch, and a hash of (digit, place of the digit in
+    the window, all 200 bytes)."""
+    row, number, start, text = _windows(batch)
     up, down = _powers(len(text))
     sums = np.concatenate((np.zeros(1, dtype="u8"), np.cumsum(_LETTERS[text] * up[:-1], dtype="u8")))
     key = (sums[start + WINDOW] - sums[start]) * down[start]
@@ -183,6 +191,48 @@ def _window_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndar
     return row, number, key
 
 
+def _radix_passes(text: np.ndarray, start: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which of the suffixes that begin at `start` equal another one of their group through `WINDOW` bytes.
+
+    A pass splits each group by the next eight bytes and puts its parts in their order; groups of one leave.  A group in
+    which all agree on a digit is passed on as it is.
+    """
+    text = np.concatenate((text, np.zeros(16, dtype="u1")))
+    digits = np.empty(len(text) - 8, dtype="u8")
+    for shift in range(8):
+        eight = text[shift : shift + (len(text) - shift) // 8 * 8].view(">u8")
+        digits[shift::8] = eight[: len(digits[shift::8])]
+    left = np.argsort(group)
+    group = group[left]
+    # `new`: where a group begins among those left.
+    new = np.concatenate((np.ones(min(len(group), 1), dtype=bool), group[1:] != group[:-1]))
+    for depth in range(0, WINDOW, 8):
+        several = _several(new)
+        new, left = new[several], left[several]
+        new, left = _split(new, left, digits[start[left] + depth])
+    return left[_several(new)]
+
+
+def _several(new: np.ndarray) -> np.ndarray:
+    """Which members have a group of two or more, by where groups begin."""
+    return ~(new & np.concatenate((new[1:], np.ones(min(len(new), 1), dtype=bool))))
+
+
+def _split(new: np.ndarray, left: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups split by a digit: where the new groups begin, and their members in order."""
+    differs = np.concatenate((np.zeros(min(len(digit), 1), dtype=bool), digit[1:] != digit[:-1])) & ~new
+    if not differs.any():
+        return new, left
+    number = np.cumsum(new) - 1
+    mixed = np.zeros(number[-1] + 1, dtype=bool)
+    mixed[number[differs]] = True
+    at = np.flatnonzero(mixed[number])
+    order = at[np.lexsort((digit[at], number[at]))]
+    left, digit = left.copy(), digit.copy()
+    left[at], digit[at] = left[order], digit[order]
+    return new | np.concatenate((np.zeros(1, dtype=bool), digit[1:] != digit[:-1])), left
+
+
 def _runs(batch: pa.RecordBatch, row: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
     """Marked windows as rows (doc_id, text_hash, first, windows), consecutive ones as one."""
     new = np.flatnonzero(np.concatenate((np.ones(min(len(row), 1), dtype=bool), (row[1:] != row[:-1]) | (number[1:] != number[:-1] + 1))))
@@ -198,10 +248,12 @@ def _order_groups(rows: DataFrame) -> DataFrame:
     """Rows come sorted by digit; a group, at most `GROUP` stretches, is ordered at once."""
 
     def ordered(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, number, key = _window_keys(batch)
-        _, place, times = np.unique(key, return_inverse=True, return_counts=True)
-        alone = batch.column(6).to_numpy(zero_copy_only=False)
-        marked = (times[place] > 1) & alone[row]
+        row, number, start, text = _windows(batch)
+        digit = batch.column(2).to_numpy()
+        nth = np.cumsum(np.concatenate(([False], digit[1:] != digit[:-1])))
+        place = batch.column(5).to_numpy().astype("i8")[row] - number
+        marked = np.sort(_radix_passes(text, start, nth[row] * WINDOW + place))
+        marked = marked[batch.column(6).to_numpy(zero_copy_only=False)[row[marked]]]
         return _runs(batch, row[marked], number[marked])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,24 +278,48 @@ def _order_groups(rows: DataFrame) -> DataFrame:
 
 
 def _order_windows(rows: DataFrame) -> DataFrame:
-    """The same for groups of any size, by an aggregation over windows."""
+    """The same for groups of any size, by aggregations over windows."""
+    ids = "doc_id long, text_hash long, first long"
 
     def explode(batch: pa.RecordBatch) -> pa.RecordBatch:
         row, number, key = _window_keys(batch)
         taken = pa.array(row)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(batch.column(3).to_numpy()[row] + number), batch.column(6).take(taken), pa.array(key.view("i8"))],
-            names=["doc_id", "text_hash", "first", "alone", "key"],
+            [batch.column(0).take(taken), batch.column(1).take(taken), batch.column(3).take(taken), pa.array(number.astype("i4")), pa.array(key.view("i8"))],
+            names=["doc_id", "text_hash", "first", "number", "key"],
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                yield explode(batch.slice(at, GROUP))
+    def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
+        taken, first, spelt = [], [], []
+        for i, numbers in enumerate(batch.column(5).to_pylist()):
+            text, at = batch.column(4)[i].as_py(), batch.column(2)[i].as_py()
+            for number in numbers:
+                taken.append(i)
+                first.append(at + number)
+                spelt.append(text[number : number + WINDOW])
+        row = pa.array(taken, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(row), batch.column(1).take(row), pa.array(first, pa.int64()), batch.column(3).take(row), pa.array(spelt, pa.binary())],
+            names=["doc_id", "text_hash", "first", "alone", "window"],
+        )
 
-    windows = stored(rows.mapInArrow(run, "doc_id long, text_hash long, first long, alone boolean, key long"))
-    repeated = stored(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    return windows.where("alone").join(repeated, "key", "left_semi").select("doc_id", "text_hash", "first", F.lit(1).alias("windows"))
+    def by_pieces(convert, n):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, n):
+                    yield convert(batch.slice(at, n))
+
+        return run
+
+    windows = stored(rows.mapInArrow(by_pieces(explode, GROUP), f"{ids}, number int, key long"))
+    named = stored(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    # A stretch has no more than PLACES windows, so these lists are short.
+    left = windows.join(named, "key", "left_semi").groupBy("doc_id", "text_hash", "first").agg(F.collect_list("number").alias("numbers"))
+    left = left.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("first").alias("of_first"), "numbers")
+    match = same(rows["doc_id"], left["of_id"]) & same(rows["text_hash"], left["of_hash"]) & (rows["first"] == left["of_first"])
+    spelt = stored(rows.join(left, match).select("doc_id", "text_hash", "first", "alone", "bytes", "numbers").mapInArrow(by_pieces(spell, 256), f"{ids}, alone boolean, window binary"))
+    repeated = spelt.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    return spelt.where("alone").join(repeated, "window", "left_semi").select("doc_id", "text_hash", "first", F.lit(1).alias("windows"))
 
 
 def repeated_windows(docs: DataFrame, group: int = GROUP) -> DataFrame:
