@@ -434,6 +434,12 @@ def weather_json_lines(spark, sf_dir):
     return _rounded(parsed, WEATHER_ROUNDED)
 
 
+@query
+def weather_json_text(spark, sf_dir):
+    """The JSON lines as they are written, text by text."""
+    return json_lines(_rounded(weather(spark, sf_dir), WEATHER_ROUNDED))
+
+
 # ---- quality --------------------------------------------------------------------------------------------------------
 
 
@@ -487,11 +493,9 @@ def trip_numeric_summary(spark, sf_dir):
     return _rounded(quantiles.numeric_summary(views.trips(spark, sf_dir), columns), SUMMARY_ROUNDED)
 
 
-@query
-def quality_report_head(spark, sf_dir):
-    """The report document without its nested lists, these as their lengths."""
-    report = quality.quality_report(
-        weather(spark, sf_dir),
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(
+        _rounded(weather(spark, sf_dir), WEATHER_ROUNDED),
         quality.WEATHER_RULES,
         "Weather Data Quality Report",
         "weather_hourly_enriched",
@@ -500,6 +504,12 @@ def quality_report_head(spark, sf_dir):
         top=20,
         first=5,
     )
+
+
+@query
+def quality_report_head(spark, sf_dir):
+    """The report document without its nested lists, these as their lengths."""
+    report = _report(spark, sf_dir)
     lists = ["failures", "null_summary", "numeric_summary", "first_rows"]
     return report.select(
         "report_name",
@@ -514,6 +524,31 @@ def quality_report_head(spark, sf_dir):
     )
 
 
+def _listed(report: DataFrame, name: str) -> DataFrame:
+    """A nested list of the report, with the place of each entry."""
+    return report.select(F.posexplode(name).alias("position", "entry")).select("position", "entry.*")
+
+
+@query
+def quality_report_failures(spark, sf_dir):
+    return _listed(_report(spark, sf_dir), "failures").drop("position")
+
+
+@query
+def quality_report_nulls(spark, sf_dir):
+    return _listed(_report(spark, sf_dir), "null_summary")
+
+
+@query
+def quality_report_numbers(spark, sf_dir):
+    return _rounded(_listed(_report(spark, sf_dir), "numeric_summary"), SUMMARY_ROUNDED)
+
+
+@query
+def quality_report_rows(spark, sf_dir):
+    return _listed(_report(spark, sf_dir), "first_rows")
+
+
 # ---- warehouse ------------------------------------------------------------------------------------------------------
 
 

@@ -522,6 +522,10 @@ ORACLES: dict[str, str] = {
           where not coalesce(ts between min_ts and max_ts, false)
           union all by name select * from batch)""",
     "weather_json_lines": f"with {WEATHER} select {rounded(WEATHER_ROUNDED)} from weather",
+    "weather_json_text": f"""with {WEATHER}, json_rows as (
+          select * replace (strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') as ts, strftime(fetched_at, '%Y-%m-%dT%H:%M:%S.000Z') as fetched_at)
+          from (select {rounded(WEATHER_ROUNDED)} from weather))
+        select cast(to_json(json_rows) as varchar) as line from json_rows""",
     "quality_rules": f"with {WEATHER}, {WEATHER_RESULTS} select * from results",
     "quality_statistics": f"""with {WEATHER}, {WEATHER_RESULTS}
         select bool_and(success) as success, count(*) as evaluated_expectations,
@@ -545,6 +549,16 @@ ORACLES: dict[str, str] = {
                (select "column" from ({NULL_ROWS}) order by null_count desc, "column" limit 1) as most_nulls_in,
                (select strftime(min(ts), '%Y-%m-%d %H:%M:%S') from weather) as first_ts
         from results""",
+    "quality_report_failures": f"""with {WEATHER}, {WEATHER_RESULTS}
+        select rule as expectation, "column", unexpected_count, unexpected_percent from results where not success""",
+    "quality_report_nulls": f"""with {WEATHER}
+        select cast(row_number() over (order by null_count desc, "column") - 1 as int) as position, *
+        from ({NULL_ROWS}) order by position limit 20""",
+    "quality_report_numbers": f"""with {WEATHER}, reported as (select {rounded(WEATHER_ROUNDED)} from weather)
+        select cast(row_number() over (order by "column") - 1 as int) as position, * from ({number_summary("reported", WEATHER_NUMBERS)})""",
+    "quality_report_rows": f"""with {WEATHER}
+        select cast(row_number() over (order by ts, location_key) - 1 as int) as position, cast(columns(*) as varchar)
+        from (select {rounded(WEATHER_ROUNDED)} from weather order by ts, location_key limit 5)""",
     "warehouse_conform": f"with {AIR_FACT} select * from air_fact",
     "warehouse_append_twice": f"with {TRIP_FACT} select * from trip_fact union all select * from trip_fact",
     "measurement_scan": f"""with {AIR} select * replace (cast(location_id % 8 as int) as source_file) from air_bronze""",
