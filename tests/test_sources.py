@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trilayer.plans.bronze import bronze_air, bronze_fx, bronze_gdp
-from trilayer.schemas import FX_FILE
+from trilayer.schemas import FX_FILE, MEASUREMENT_FILE
 from trilayer.sources import reference_data, tables
 from trilayer.sources.calendar import calendar_days
 from trilayer.sources.existing import existing_paths
@@ -102,11 +102,36 @@ def test_measurements_without_a_column_fail(spark, tmp_path):
         scan_measurements(spark, [str(tmp_path)]).collect()
 
 
-def test_measurements_damaged_after_the_check_fail(spark, air_tree, monkeypatch):
-    nothing = spark.createDataFrame([], "path string, header string")
-    monkeypatch.setattr("trilayer.sources.measurements.odd_files", lambda *_: nothing)
+def test_measurements_are_read_once(spark, air_tree):
+    rows = scan_measurements(spark, [str(air_tree)])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema") == 1
+
+
+def test_a_file_damaged_after_the_scan_was_built_gives_no_rows(spark, air_tree):
+    tolerant, strict = (scan_measurements(spark, [str(air_tree / "records/csv.gz/locationid=2/year=2023/month=01/location-2-20230102.csv.gz")], skip_damaged=x) for x in (True, False))
+    assert tolerant.count() == 1
+    put_measurements(air_tree, 2, 2, [f"2,20,Queens,2023-01-02T00:00:00-05:00,40.2,-73.8,no2,ppm,{i * i}\n" for i in range(9000)], cut=True)
+    assert tolerant.collect() == []
     with pytest.raises(Exception):
-        scan_measurements(spark, [str(air_tree)]).collect()
+        strict.collect()
+
+
+def test_measurement_lines_parse_as_in_a_file_scan(spark, tmp_path):
+    odd = [
+        '5,50,"a ""b"", c",t,1,2,pm25,ug,1e1\r\n', "\n", "  \n", "5,x,\\,t,1,2,pm25,ug\n", '5,50,"a \\"q\\", z",t, 1,2,pm25,ug,3,extra\n',
+        "5,50,,,,,pm25,,\n", '5,50,é"x,t,1,2,pm25,ug,-0\n', "5,50,long" + "y" * 70000 + ",t,1,2,pm25,ug,2\n", '5,50,"open,t,1,2,pm25,ug,3',
+    ]
+    straight = put_measurements(tmp_path / "a", 5, 1, odd)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in MEASUREMENT_FILE)
+    wanted = spark.read.schema(kinds).csv(str(straight), header=True).filter("parameter = 'pm25'").collect()
+    found = scan_measurements(spark, [str(straight)]).drop("source_file").collect()
+    assert sorted(map(str, found)) == sorted(map(str, wanted)) and len(found) >= 5
+    # The same fields behind a column more, in another order.
+    names = HEADER.strip().split(",")
+    moved = put_measurements(tmp_path / "b", 5, 1, ['9,1.5,ug,pm25,2,1,t,"a \\"b\\", c",50,5\n', "9,,ug,pm25\n"], header=",".join(["more", *reversed(names)]) + "\n")
+    rows = scan_measurements(spark, [str(moved)]).collect()
+    assert [(r["location_id"], r["location"], r["value"]) for r in rows] == [(5, 'a "b", c', 1.5), (None, None, None)]
 
 
 def test_trips_of_a_folder_with_two_schemas(spark, tmp_path):

@@ -6,12 +6,12 @@ import csv
 import gzip
 import io
 import logging
+import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,11 +74,18 @@ def _columns(header: str) -> list[str]:
     return [name.strip() for name in next(csv.reader([header]))]
 
 
-def odd_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
-    """path and header of the gzip files that are not simply whole with the expected header.  A null header: the file is
-    empty, ends early or does not inflate.  Files are checked in parallel by the tasks; every byte is read once for it."""
-    expected = ",".join(MEASUREMENT_FILE.names)
-    files = (
+#: A field of a line as it is written, quotes and escapes included.
+_FIELD = re.compile(rb'((?:"(?:\\.|[^"\\])*"|[^,"]|")*)(?:,|$)')
+
+
+def _reordered(line: bytes, order: list[int]) -> bytes:
+    """The fields at these places of a line, unchanged; an absent one is empty."""
+    fields = [m.group(1) for m in _FIELD.finditer(line)]
+    return b",".join(fields[i] if i < len(fields) else b"" for i in order)
+
+
+def _gzip_files(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
@@ -86,33 +93,41 @@ def odd_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") ->
         .select(F.col("_metadata.file_path").alias("path"), "content")
     )
 
+
+def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
+    """Paths of gzip files that are empty, end early or do not inflate.  The tasks read every byte."""
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            headers = [_header_if_whole(content) for content in batch["content"]]
-            found = pd.DataFrame({"path": batch["path"], "header": pd.Series(headers, index=batch.index, dtype=object)})
-            yield found[[header != expected for header in headers]]
-
-    return files.mapInPandas(check, "path string, header string")
+            damaged = [_header_if_whole(content) is None for content in batch["content"]]
+            yield batch.loc[damaged, ["path"]]
 
+    return _gzip_files(spark, paths, glob).mapInPandas(check, "path string")
 
-def damaged_files(spark: SparkSession, paths: list[str], glob: str = "*.csv.gz") -> DataFrame:
-    """Paths of gzip files that are empty, end early or do not inflate."""
-    return odd_files(spark, paths, glob).filter("header is null").select("path")
 
+def _lines(path: str, content: bytes, wanted: list[str], skip_damaged: bool) -> Iterator[pa.RecordBatch]:
+    """The lines below the header, a piece of the file at a time, fields in the order of `wanted`.
 
-def _scan(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
-    """Files whose columns are in this order; a damaged file fails the job."""
-    kinds = {field.name: field.dataType.simpleString() for field in MEASUREMENT_FILE}
-    return (
-        spark.read.schema(", ".join(f"`{name}` {kinds.get(name, 'string')}" for name in names))
-        .option("header", "true")
-        .option("enforceSchema", "false")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv.gz")
-        .option("ignoreCorruptFiles", "false")
-        .csv(paths)
-        .select(*MEASUREMENT_FILE.names, F.col("_metadata.file_path").alias("_path"))
-    )
+    The bytes are inflated to their end before a line is given out, and once more for the lines: so a damaged file gives
+    none, and no more than a piece of the text is held.
+    """
+    header = _header_if_whole(content)
+    if header is None:
+        if not skip_damaged:
+            raise ValueError(f"cannot be read to its end: {path}")
+        log.warning("left out %s: cannot be read to its end", path)
+        return
+    names = _columns(header)
+    if not set(wanted) <= set(names):
+        raise ValueError(f"unexpected columns in {path}: {names}")
+    order = [names.index(name) for name in wanted]
+    with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+        stream.readline()
+        while piece := b"".join(stream.readlines(_PIECE)):
+            lines = piece.decode("utf-8", "replace").encode().splitlines()
+            if names != wanted:
+                lines = [_reordered(line, order) for line in lines]
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.binary()).cast(pa.string())], names=["path", "line"])
 
 
 def scan_measurements(
@@ -126,33 +141,28 @@ def scan_measurements(
 
     * An absent path is logged and left out.
     * Path segments `locationid=…/year=…/month=…` do not become columns.
+    * A file is read once, by the task that inflates it, checks it and gives out its lines; the JVM parses them.  Nothing
+      about the files comes to the driver.
     * Columns are found by their names in each file's header, which may be quoted or in another order.  A whole file
       that lacks a column fails the job.
-    * With `skip_damaged`, a file that cannot be read to its end is logged and gives no rows at all.  Spark alone would
-      keep the rows before the damage, so a job checks the files first.  Only the paths of odd files come to the driver;
-      they leave the scan as a filter on the file path, without a join or an exchange.  The scan itself is strict: a file
-      that is damaged after the check fails the job, as does every damaged one without `skip_damaged`.
+    * With `skip_damaged`, a file that cannot be read to its end gives no rows at all and is logged by its task;
+      `damaged_files` lists such files.  Spark alone would keep the rows before the damage.  Without it such a file
+      fails the job.
     """
     wanted = POLLUTANTS if pollutants is None else pollutants
     paths = existing_paths(spark, paths)
     if not paths:
         raise ValueError("none of the measurement paths exists")
-    odd = odd_files(spark, paths).collect()
-    damaged = [row["path"] for row in odd if row["header"] is None]
-    if damaged and not skip_damaged:
-        raise ValueError(f"damaged files: {damaged}")
-    for path in damaged:
-        log.warning("left out %s: cannot be read to its end", path)
-    by_columns: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in odd:
-        if row["header"] is not None:
-            by_columns[tuple(_columns(row["header"]))].append(row["path"])
-    for names, members in by_columns.items():
-        if not set(MEASUREMENT_FILE.names) <= set(names):
-            raise ValueError(f"unexpected columns in {members}: {list(names)}")
-    rows = _scan(spark, paths, MEASUREMENT_FILE.names)
-    if odd:
-        rows = rows.filter(~F.col("_path").isin([row["path"] for row in odd]))
-    rows = reduce(DataFrame.unionByName, (_scan(spark, members, list(names)) for names, members in by_columns.items()), rows)
-    rows = rows.filter(F.col("parameter").isin(wanted))
-    return rows.withColumn("source_file", relative_path(F.col("_path"), base) if base else F.col("_path")).drop("_path")
+    names = MEASUREMENT_FILE.names
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                yield from _lines(path.as_py(), content.as_py(), names, skip_damaged)
+
+    lines = _gzip_files(spark, paths, "*.csv.gz").mapInArrow(unpack, "path string, line string")
+    kinds = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in MEASUREMENT_FILE)
+    # As in a file scan, lines of nothing but blanks and controls are no rows.
+    rows = lines.filter(F.col("line").rlike(r"[^\x00-\x20]")).select(F.from_csv("line", kinds).alias("row"), "path")
+    rows = rows.select("row.*", "path").filter(F.col("parameter").isin(wanted))
+    return rows.withColumn("source_file", relative_path(F.col("path"), base) if base else F.col("path")).drop("path")
